@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trivet.llm.langid import identify
 from trivet.llm.linededup import dedup_lines
 from trivet.llm.linerules import line_rules
 from trivet.llm.mixing import mix
+from trivet.llm.pieces import encode_pieces
+from trivet.llm.quality import classify
+from trivet.llm.warc import read_archives, write_archives
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,6 +24,20 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_read(spark, sf_dir, "documents"))
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(_read(spark, sf_dir, "documents"), piece_model())
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(_read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
@@ -29,11 +47,23 @@ def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules(_read(spark, sf_dir, "documents"))
 
 
+def op7_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archives(spark, write_archives(_read(spark, sf_dir, "pages"))).drop("payload", "url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_language_id": op2_language_id,
+        "op3_sentencepiece": op3_sentencepiece,
         "op5_line_dedup": op5_line_dedup,
         "op6_line_rules": op6_line_rules,
+        "op7_quality_rank": op7_quality_rank,
+        "op8_warc": op8_warc,
     }
 
 
