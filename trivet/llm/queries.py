@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trivet.llm.capfilters import cap_links
 from trivet.llm.langid import identify
 from trivet.llm.linededup import dedup_lines
 from trivet.llm.linerules import line_rules
@@ -55,6 +56,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, write_archives(_read(spark, sf_dir, "pages"))).drop("payload", "url")
 
 
+def op9_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_links(_read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -64,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_line_rules": op6_line_rules,
         "op7_quality_rank": op7_quality_rank,
         "op8_warc": op8_warc,
+        "op9_cap_filters": op9_cap_filters,
     }
 
 
