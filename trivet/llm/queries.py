@@ -14,6 +14,7 @@ from trivet.llm.linerules import line_rules
 from trivet.llm.mixing import mix
 from trivet.llm.pieces import encode_pieces
 from trivet.llm.quality import classify
+from trivet.llm.setjoin import jaccard_components
 from trivet.llm.warc import read_archives, write_archives
 
 
@@ -60,6 +61,10 @@ def op9_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_links(_read(spark, sf_dir, "embeddings"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -70,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_rank": op7_quality_rank,
         "op8_warc": op8_warc,
         "op9_cap_filters": op9_cap_filters,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
