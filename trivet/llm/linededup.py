@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trivet.llm.common import WORD, let
+from trivet.llm.common import WORD, cut, let
 
 #: The multiplier of the rolling hash, a prime.
 ROLL = 1_000_003
@@ -66,7 +66,6 @@ def dedup_lines(
     same result. Very common chunks: counts are combined map-side and joins are on chunk hashes,
     whose hot keys are salted. Other columns of docs are ignored.
     """
-    spark = docs.sparkSession
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carry])
     lines = F.split("text", "\n", -1)
     keyed = own.withColumn("_t", F.xxhash64("text")).withColumn("_i", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -78,27 +77,28 @@ def dedup_lines(
         let(lines, lambda a: F.transform(chunk_spans(a, window, divisor), lambda s: F.struct(s["first"].alias("first"), s["n"].alias("n"), F.xxhash64(F.slice(a, s["first"] + 1, s["n"])).alias("h")))),
         lambda s: s["n"] >= min_lines,
     )
-    chunks = keyed.where("text is not null").select(*key, "doc_id", F.explode(hashed).alias("c")).select(*key, "doc_id", "c.*").distinct()
-    twice = chunks.groupBy("h").agg(F.count("*").alias("_k")).where("_k > 1").select("h")
+    chunks = keyed.where("text is not null").select(*key, F.explode(hashed).alias("c")).select(*key, "c.*").distinct()
+    chunks = cut(chunks, "chunks")
+    twice = chunks.groupBy("h").agg(F.count("*").alias("_k")).where("_k > 1")
     salts = 16
-    salt = F.pmod("_t", F.lit(salts)).cast("int")
     spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s")
-    again = chunks.withColumn("_s", salt).join(twice.select("h", spread), ["h", "_s"]).groupBy(*key).agg(F.collect_list(F.struct("first", "n", "h")).alias("cs"))
+    again = chunks.withColumn("_s", F.pmod("_t", F.lit(salts)).cast("int")).join(twice.select("h", "_k", spread), ["h", "_s"])
+    # Texts of a common chunk are dealt to one task for each thousand occurrences.
+    again = again.groupBy(*key).agg(F.collect_list(F.struct("first", "n", "h", F.expr("_k div 1000").alias("k"))).alias("cs"))
 
     # The bytes of the chunks that may be repeated; a document's chunks are no more than its lines.
-    body = keyed.select(*key, "doc_id", "text").distinct().join(again, key).withColumn("a", lines)
-    part = body.select(*key, "doc_id", "a", F.explode("cs").alias("c")).select(
-        *key, "doc_id", "c.first", "c.n", "c.h", F.concat_ws("\n", F.slice("a", F.col("c.first") + 1, F.col("c.n"))).alias("bytes")
+    part = keyed.join(again, key).withColumn("a", lines).select(*key, "doc_id", "a", F.explode("cs").alias("c")).select(
+        *key, "doc_id", "c.first", "c.n", "c.h", "c.k", F.concat_ws("\n", F.slice("a", F.col("c.first") + 1, F.col("c.n"))).alias("bytes")
     )
     part = part.where(F.col("bytes").rlike(WORD))
     place = F.struct(F.col("_n").alias("n"), F.col("doc_id").alias("d"), F.col("_t").alias("t"), F.col("first").alias("f"))
-    first = part.groupBy("h", "bytes").agg(F.min(place).alias("keep"), F.count("*").alias("k")).where("k > 1")
+    first = part.groupBy("h", "k", "bytes").agg(F.min(place).alias("keep"), F.count("*").alias("rows")).where("rows > 1")
     gone = (
-        part.withColumn("_s", salt)
-        .join(first.select("h", "bytes", "keep", spread), ["h", "bytes", "_s"])
+        part.withColumn("_s", F.pmod("_t", F.col("k") + 1))
+        .join(first.select("h", "bytes", "keep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k"))).alias("_s")), ["h", "bytes", "_s"])
         .where(~place.eqNullSafe(F.col("keep")))
         .groupBy(*key)
-        .agg(F.collect_list(F.struct("first", "n")).alias("gone"))
+        .agg(F.collect_set(F.struct("first", "n")).alias("gone"))
     )
     out = keyed.join(gone, key, "left").withColumn("a", lines)
     drop = F.flatten(F.transform("gone", lambda g: F.sequence(g["first"], g["first"] + g["n"] - 1)))
