@@ -11,10 +11,12 @@ from trivet.llm.capfilters import cap_links
 from trivet.llm.langid import identify
 from trivet.llm.linededup import dedup_lines
 from trivet.llm.linerules import line_rules
+from trivet.llm.common import hash60
 from trivet.llm.mixing import mix
 from trivet.llm.pieces import encode_pieces
 from trivet.llm.quality import classify
 from trivet.llm.setjoin import jaccard_components
+from trivet.llm.urlfilter import filter_urls, host_of
 from trivet.llm.warc import read_archives, write_archives
 
 
@@ -40,6 +42,26 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(_read(spark, sf_dir, "documents"), piece_model())
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages has neither fetch days nor lists, so both are made by rule from all its rows.
+
+    A page is fetched on day page_id mod 730 from 2023-01-01. By the hash of its name a host is listed
+    as spam for 90 days and again from day 240 after, or one of its directories as adult for good.
+    """
+    first = F.to_date(F.lit("2023-01-01"))
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", F.date_add(first, (F.col("page_id") % 730).cast("int")).alias("fetch_day"))
+    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct().withColumn("v", hash60(F.col("host")))
+    day = F.date_add(first, (F.shiftright("v", 8) % 500).cast("int"))
+    turns = F.array(
+        *[F.struct(F.lit(op).alias("op"), F.lit(after).alias("after")) for op, after in (("add", 0), ("remove", 90), ("add", 240))],
+    )
+    spam = hosts.where("v % 4 = 0").select(F.col("host").alias("key"), F.lit("spam").alias("category"), F.explode(turns).alias("x"), day.alias("d"))
+    spam = spam.select("key", "category", "x.op", F.date_add("d", F.col("x.after")).alias("day"))
+    lang = F.element_at(F.array(*[F.lit(x) for x in ("en", "fr", "de", "es")]), (F.shiftright("v", 4) % 4 + 1).cast("int"))
+    adult = hosts.where("v % 4 in (0, 1)").select(F.concat("host", F.lit("/"), lang).alias("key"), F.lit("adult").alias("category"), F.lit("add").alias("op"), day.alias("day"))
+    return filter_urls(pages, spam.unionByName(adult))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(_read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
@@ -70,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op2_language_id": op2_language_id,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_url_filter": op4_url_filter,
         "op5_line_dedup": op5_line_dedup,
         "op6_line_rules": op6_line_rules,
         "op7_quality_rank": op7_quality_rank,
@@ -103,6 +126,29 @@ SELECT doc_id, size, source_size, target, CAST(size * (full_n + CASE WHEN size >
 FROM c
 """
 
+_URL_FILTER = r"""
+WITH p AS (
+  SELECT page_id, url, DATE '2023-01-01' + CAST(page_id % 730 AS INTEGER) AS fetch_day,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#@]+)', 1)) AS host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^?#]*)', 1), '/'), lambda x: x <> '') AS parts
+  FROM pages),
+h AS (SELECT DISTINCT host, CAST(('0x' || substr(md5(host), 1, 15)) AS BIGINT) AS v FROM p WHERE host <> ''),
+l AS (SELECT host, v, DATE '2023-01-01' + CAST((v >> 8) % 500 AS INTEGER) AS d FROM h),
+spans AS (
+  SELECT host AS key, 'spam' AS category, d AS start, d + 90 AS stop FROM l WHERE v % 4 = 0
+  UNION ALL SELECT host, 'spam', d + 240, NULL FROM l WHERE v % 4 = 0
+  UNION ALL SELECT host || '/' || CASE (v >> 4) % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' WHEN 2 THEN 'de' ELSE 'es' END, 'adult', d, NULL FROM l WHERE v % 4 IN (0, 1)),
+k AS (
+  SELECT DISTINCT page_id, fetch_day, key FROM (
+    SELECT page_id, fetch_day, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.'))) AS key FROM p WHERE host <> ''
+    UNION ALL
+    SELECT page_id, fetch_day, unnest(list_transform(range(1, len(parts) + 1), lambda i: host || '/' || array_to_string(parts[1:i], '/'))) FROM p WHERE host <> '')),
+a AS (SELECT page_id, category, start FROM k JOIN spans USING (key) WHERE start <= fetch_day AND (stop IS NULL OR fetch_day < stop)),
+g AS (SELECT page_id, count(*) AS n, string_agg(DISTINCT category, ',' ORDER BY category) AS c, max(start) AS since FROM a GROUP BY page_id)
+SELECT p.page_id, p.fetch_day, coalesce(g.n, 0) AS n_active, coalesce(g.c, '') AS categories, g.since, g.n IS NOT NULL AS blocked
+FROM p LEFT JOIN g ON p.page_id = g.page_id
+"""
+
 _LINE_DEDUP = r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i,
@@ -152,4 +198,4 @@ FROM b
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": _MIX, "op5_line_dedup": _LINE_DEDUP, "op6_line_rules": _LINE_RULES}
+    return {"op1_mix_sources": _MIX, "op4_url_filter": _URL_FILTER, "op5_line_dedup": _LINE_DEDUP, "op6_line_rules": _LINE_RULES}
