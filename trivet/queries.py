@@ -1,2 +1,8 @@
-QUERIES = {}
-ORACLES = {}
+"""All registered queries of the reference's operators, each with its SQL where SQL can say it."""
+
+from __future__ import annotations
+
+from trivet.plans import frame_queries, mesh_queries, misc_queries
+
+QUERIES = mesh_queries.QUERIES | frame_queries.QUERIES | misc_queries.QUERIES
+ORACLES = mesh_queries.ORACLES | frame_queries.ORACLES | misc_queries.ORACLES
