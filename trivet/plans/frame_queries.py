@@ -45,16 +45,16 @@ def frame_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("video_id", "seq", "is_blurry", "is_underexposed", "is_overexposed", "is_low_contrast", "is_low_texture", "accepted")
 
 
-@query(f"""{_GATE} SELECT video_id, seq, concat_ws('; ', CASE WHEN is_blurry THEN printf('Low sharpness (%.1f < threshold 100.0)', sharpness) END, CASE WHEN is_underexposed THEN printf('Underexposed (brightness %.1f < 30.0)', brightness) END,
-CASE WHEN is_overexposed THEN printf('Overexposed (brightness %.1f > 235.0)', brightness) END, CASE WHEN is_low_contrast THEN printf('Low contrast (std dev %.1f < 15.0)', contrast) END,
-CASE WHEN is_low_texture THEN printf('Low visible detail (heuristic score %.1f < threshold 10.0)', sharpness) END) AS reasons FROM (SELECT video_id, seq, is_blurry, is_underexposed, is_overexposed, is_low_contrast, is_low_texture,
-round(sharpness, 1) AS sharpness, round(brightness, 1) AS brightness, contrast FROM q)""")
+# Java prints the shortest decimal of a double rounded half up; a decimal cast does the same.
+_D = "CAST(CAST(CAST({} AS VARCHAR) AS DECIMAL(38, 18)) AS DECIMAL(18, 1))"
+
+
+@query(f"""{_GATE}, p AS (SELECT *, {_D.format('sharpness')} AS s, {_D.format('brightness')} AS b, {_D.format('contrast')} AS c FROM q)
+SELECT video_id, seq, concat_ws('; ', CASE WHEN is_blurry THEN 'Low sharpness (' || s || ' < threshold 100.0)' END, CASE WHEN is_underexposed THEN 'Underexposed (brightness ' || b || ' < 30.0)' END,
+CASE WHEN is_overexposed THEN 'Overexposed (brightness ' || b || ' > 235.0)' END, CASE WHEN is_low_contrast THEN 'Low contrast (std dev ' || c || ' < 15.0)' END,
+CASE WHEN is_low_texture THEN 'Low visible detail (heuristic score ' || s || ' < threshold 10.0)' END) AS reasons FROM p""")
 def frame_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Printed numbers are rounded first, since the two engines print ties differently.
-    f = frames(spark, sf_dir)
-    g = fr.gate(f).select("video_id", "seq", *[c for c in ("is_blurry", "is_underexposed", "is_overexposed", "is_low_contrast", "is_low_texture")])
-    shown = fr.gate(f.withColumns({"sharpness": F.round("sharpness", 1), "brightness": F.round("brightness", 1)})).select("video_id", "seq", "reasons")
-    return g.join(shown, ["video_id", "seq"]).select("video_id", "seq", F.concat_ws("; ", "reasons").alias("reasons"))
+    return fr.gate(frames(spark, sf_dir)).select("video_id", "seq", F.concat_ws("; ", "reasons").alias("reasons"))
 
 
 _TOTALS = f"""{_GATE}, t AS (SELECT video_id, count(*) AS n_frames, count(*) FILTER (WHERE accepted) AS selected, count(*) FILTER (WHERE is_blurry) AS blurry,
@@ -88,7 +88,7 @@ _SIM = "1 - list_sum(list_transform(range(1, 65), lambda i: abs(a[i] - b[i]))) /
   SELECT video_id, seq, thumb, true FROM thumbs WHERE seq = 0
   UNION ALL
   SELECT t.video_id, t.seq, CASE WHEN s.sim < 0.87 THEN t.thumb ELSE s.state END, s.sim < 0.87
-  FROM (SELECT f.video_id, f.seq, f.state, {_SIM.replace('a[i]', 'n.thumb[i]').replace('b[i]', 'f.state[i]')} AS sim FROM fold f JOIN thumbs n ON n.video_id = f.video_id AND n.seq = f.seq + 1) s
+  FROM (SELECT f.video_id, f.seq, f.state, 1 - list_sum(list_transform(range(1, 65), lambda i: abs(n.thumb[i] - f.state[i]))) / 64 AS sim FROM fold f JOIN thumbs n ON n.video_id = f.video_id AND n.seq = f.seq + 1) s
   JOIN thumbs t ON t.video_id = s.video_id AND t.seq = s.seq + 1)
 SELECT video_id, seq, accepted FROM fold""")
 def frame_redundancy_fold(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,16 +182,16 @@ def mesh_component_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.filter_components(*many_meshes(spark, sf_dir))[1]
 
 
-@query(f"""{MESHR.replace('WITH RECURSIVE', 'WITH RECURSIVE')},
+@query(f"""{MESHR},
 rp AS (SELECT mesh_id, NOT bool_or(v0 = v1 OR v1 = v2 OR v0 = v2) AS plain FROM m2 GROUP BY 1),
 th AS (SELECT mesh_id, max(c) <= 2 AS thin FROM ec GROUP BY 1),
-lk AS (SELECT DISTINCT mesh_id, unnest([v0, v1, v2]) AS at, least(unnest([v1, v2, v0]), unnest([v2, v0, v1])) AS a, greatest(unnest([v1, v2, v0]), unnest([v2, v0, v1])) AS b
+lk AS (SELECT DISTINCT mesh_id, unnest([v0, v1, v2]) AS hub, least(unnest([v1, v2, v0]), unnest([v2, v0, v1])) AS a, greatest(unnest([v1, v2, v0]), unnest([v2, v0, v1])) AS b
        FROM m2 WHERE NOT (v0 = v1 OR v1 = v2 OR v0 = v2)),
-lb AS (SELECT mesh_id, at, a, b FROM lk UNION SELECT mesh_id, at, b, a FROM lk),
-lr(mesh_id, at, n, r) AS (SELECT DISTINCT mesh_id, at, a, a FROM lb UNION SELECT lr.mesh_id, lr.at, lr.n, lb.b FROM lr JOIN lb ON lr.mesh_id = lb.mesh_id AND lr.at = lb.at AND lr.r = lb.a),
-lc AS (SELECT mesh_id, at, count(DISTINCT m) AS pieces FROM (SELECT mesh_id, at, n, min(r) AS m FROM lr GROUP BY 1, 2, 3) GROUP BY 1, 2),
-ld AS (SELECT mesh_id, at, max(d) AS most, count(*) FILTER (WHERE d = 1) AS ends FROM (SELECT mesh_id, at, a, count(*) AS d FROM lb GROUP BY 1, 2, 3) GROUP BY 1, 2),
-ok AS (SELECT lc.mesh_id, bool_and(pieces = 1 AND most <= 2 AND ends IN (0, 2)) AS fans FROM lc JOIN ld ON lc.mesh_id = ld.mesh_id AND lc.at = ld.at GROUP BY 1)
+lb AS (SELECT mesh_id, hub, a, b FROM lk UNION SELECT mesh_id, hub, b, a FROM lk),
+lr(mesh_id, hub, n, r) AS (SELECT DISTINCT mesh_id, hub, a, a FROM lb UNION SELECT lr.mesh_id, lr.hub, lr.n, lb.b FROM lr JOIN lb ON lr.mesh_id = lb.mesh_id AND lr.hub = lb.hub AND lr.r = lb.a),
+lc AS (SELECT mesh_id, hub, count(DISTINCT m) AS pieces FROM (SELECT mesh_id, hub, n, min(r) AS m FROM lr GROUP BY 1, 2, 3) GROUP BY 1, 2),
+ld AS (SELECT mesh_id, hub, max(d) AS most, count(*) FILTER (WHERE d = 1) AS ends FROM (SELECT mesh_id, hub, a, count(*) AS d FROM lb GROUP BY 1, 2, 3) GROUP BY 1, 2),
+ok AS (SELECT lc.mesh_id, bool_and(pieces = 1 AND most <= 2 AND ends IN (0, 2)) AS fans FROM lc JOIN ld ON lc.mesh_id = ld.mesh_id AND lc.hub = ld.hub GROUP BY 1)
 SELECT rp.mesh_id, plain AND thin AND coalesce(fans, false) AS vertex_manifold FROM rp JOIN th ON rp.mesh_id = th.mesh_id LEFT JOIN ok ON rp.mesh_id = ok.mesh_id""")
 def mesh_vertex_manifold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mesh.vertex_manifold(many_meshes(spark, sf_dir)[0])
