@@ -1,55 +1,20 @@
-"""What the operators of this folder share: words, let-binding, durable cuts of lineage, components."""
+"""What the operators of this folder share: words, let-binding, hashes, components; cuts come from trivet.storage."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trivet.storage import cut, new_path
+
+__all__ = ["SPACE", "WORD", "components", "count_words", "cut", "hash60", "let", "new_path"]
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = " \t\n\x0b\f\r"
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or one of our own where that is unset."""
-    given = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if given:
-        return given.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="trivet-")
-    return _own[app]
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    """A fresh folder name in the shared folder; removed when the driver's Python ends."""
-    path = f"{shared_dir(spark)}/trivet-{what}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
-    return path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder through Hadoop's file system; a session that has ended leaves it."""
-    if spark.sparkContext._jsc is None:
-        return
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def cut(df: DataFrame, what: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: a durable cut of lineage."""
-    spark = df.sparkSession
-    path = new_path(spark, what)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once, however often body names it."""
