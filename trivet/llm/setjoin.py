@@ -7,6 +7,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,22 +102,42 @@ def sub_vectors(h: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def _class_id(h: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63)
+
+
 def _describe(h: np.ndarray) -> tuple[int, str, np.ndarray]:
     """A set's class id, a wider digest that vouches for it, and its count vector."""
     raw = h.tobytes()
-    return xxhash.xxh64_intdigest(raw) - (1 << 63), xxhash.xxh128_hexdigest(raw), np.bincount((h & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    return _class_id(h), xxhash.xxh128_hexdigest(raw), np.bincount((h & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+
+
+def fine_counts(h: np.ndarray) -> bytes:
+    """A count vector with about two shingles a coordinate, a byte each; twice the coordinates while a count is over 255."""
+    groups = GROUPS
+    while True:
+        if groups * 2 >= len(h):
+            c = np.bincount((h & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+            if c.max(initial=0) < 256:
+                return c.astype(np.uint8).tobytes()
+        groups *= 2
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """The sum of coordinate minima, at the coarser vector's coordinates."""
+    x, y = sorted((np.frombuffer(v, np.uint8).astype(np.int32) for v in (a, b)), key=len)
+    return int(np.minimum(x, y.reshape(-1, len(x)).sum(axis=0)).sum())
 
 
 def _slices(batches: Iterator[pa.RecordBatch], most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of batches (text last) of about `most` characters, one row at least."""
+    """Slices of batches (text last) of about `most` bytes, one row at least."""
     for b in batches:
-        start = size = 0
-        col = b.column(b.num_columns - 1)
-        for i in range(b.num_rows):
-            size += len(col[i].as_py() or "")
-            if size >= most or i == b.num_rows - 1:
-                yield b.slice(start, i + 1 - start)
-                start, size = i + 1, 0
+        upto = np.cumsum(pc.fill_null(pc.binary_length(b.column(b.num_columns - 1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < b.num_rows:
+            end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, side="right")))
+            yield b.slice(start, end - start)
+            start = end
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,13 +212,14 @@ def jaccard_components(
     have nearly equal counts), so the first level of the tree splits by exact sub-vectors of the
     count vector (`sub_vectors`), one of which linked sets must share. Within these buckets two
     points are a candidate if the sum of their coordinate minima reaches the overlap that a link
-    needs, and candidates are verified on whole sets. Equal sets are one class from the start, and
+    needs, first on coarse, then on vectors as fine as half the set,
+    and what is left is verified on whole sets. Equal sets are one class from the start, and
     a task emits the keys of a class once, so groups of copies stay small.
 
     Each class first verifies the partner with which it shares most buckets; only pairs that are
     still in different components are verified after that. Crowded buckets (over 16 classes) that
-    still hold several components are joined leaf by leaf, a leaf holding up to 512 points in order
-    of size and skipping leaves whose boxes cannot reach the overlap. No step emits all pairs of a
+    still hold several components form clusters, each joined once, leaf by leaf: a leaf holds about
+    512 points of like size, and leaves whose boxes cannot reach the overlap are skipped. No step emits all pairs of a
     group; no link between different sets is lost.
 
     Returns a row for each input row: doc_id, t (hash of the text), n_shingles, component_id (the
@@ -245,7 +267,7 @@ def jaccard_components(
                 h = shingles(t, words)
                 if not len(h):
                     continue
-                c = _describe(h)[0]
+                c = _class_id(h)
                 if c not in seen:
                     seen.add(c)
                     ks.append(sub_vectors(h, num, den))
@@ -272,18 +294,36 @@ def jaccard_components(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches, 500_000):
             hs = [shingles(t, words) for t in b.column(1).to_pylist()]
-            keep = [i for i, (h, c) in enumerate(zip(hs, b.column(0).to_pylist(), strict=True)) if _describe(h)[0] == c]
-            yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[i].as_py() for i in keep], pa.int64()), pa.array([hs[i].view(np.int64) for i in keep], pa.list_(pa.int64()))], names=["cid", "h"])
+            keep = [i for i, (h, c) in enumerate(zip(hs, b.column(0).to_pylist(), strict=True)) if _class_id(h) == c]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([b.column(0)[i].as_py() for i in keep], pa.int64()),
+                    pa.array([len(hs[i]) for i in keep], pa.int64()),
+                    pa.array([fine_counts(hs[i]) for i in keep], pa.binary()),
+                    pa.array([hs[i].view(np.int64) for i in keep], pa.list_(pa.int64())),
+                ],
+                names=["cid", "n", "fine", "h"],
+            )
 
     texts = own.where("text is not null").withColumn("s", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sets = texts.join(rep.select("s", "cid"), "s").select("cid", "text").mapInArrow(whole, "cid long, h array<long>")
+    sets = texts.join(rep.select("s", "cid"), "s").select("cid", "text").mapInArrow(whole, "cid long, n long, fine binary, h array<long>")
     # An id may repeat with one text: such rows give the same set twice.
     sets = cut(sets, "sets")
     twins = sized.where("cid is not null").groupBy("cid", "doc_id").agg(F.count("*").alias("k")).where("k > 1").limit(1).count()
     if twins:
         sets = sets.dropDuplicates(["cid"])
 
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            na, nb = b.column(2).to_numpy(), b.column(3).to_numpy()
+            top = np.array([overlap_bound(x.as_py(), y.as_py()) for x, y in zip(b.column(4), b.column(5), strict=True)], np.int64)
+            ok = np.flatnonzero(top * (den + num) >= (na + nb) * num)
+            yield b.select([0, 1]).take(pa.array(ok))
+
     def linked(pairs: DataFrame) -> DataFrame:
+        p = pairs.join(sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa")), "a")
+        p = p.join(sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb")), "b")
+        pairs = cut(p.select("a", "b", "na", "nb", "fa", "fb").mapInArrow(reach, "a long, b long"), "set-close")
         p = pairs.join(sets.select(F.col("cid").alias("a"), F.col("h").alias("ha")), "a").join(sets.select(F.col("cid").alias("b"), F.col("h").alias("hb")), "b")
         both = F.size(F.array_intersect("ha", "hb")).cast("long")
         return p.where(both * den >= (F.size("ha") + F.size("hb") - both) * num).select("a", "b")
@@ -301,12 +341,16 @@ def jaccard_components(
     links = links.unionByName(rest)
     comp = components(links)
 
-    # Crowded buckets that still hold several components.
+    # Crowded buckets that still hold several components; those that share a component are one cluster.
     at = crowd.join(comp.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k")).where("lo <> hi").select("key", "k")
-    mixed = cut(at.join(mixed, "key").join(slim, "cid"), "set-crowds")
-    if mixed.limit(1).count():
-        more = cut(linked(cut(_leaf_join(mixed, num, den, parts).distinct(), "set-close")), "set-links")
+    kinds = at.select("key", "component").distinct()
+    mixed = kinds.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", "lo")
+    at = cut(at.join(mixed, "key").select("cid", "component", "lo").distinct(), "set-crowds")
+    if at.limit(1).count():
+        cluster = components(at.select(F.col("lo").alias("a"), F.col("component").alias("b"))).select(F.col("id").alias("component"), F.col("component").alias("key"))
+        points = cut(at.select("cid", "component").distinct().join(cluster, "component").join(slim, "cid").join(sets.select("cid", "fine"), "cid"), "set-points")
+        points = points.join(points.groupBy("key").agg(F.count("*").alias("k")), "key")
+        more = cut(linked(cut(_leaf_join(points, num, den, parts).distinct(), "set-close")), "set-links")
         links = links.unionByName(more)
         comp = components(links)
 
@@ -327,7 +371,7 @@ def jaccard_components(
 
 
 def _leaf_join(points: DataFrame, num: int, den: int, parts: int) -> DataFrame:
-    """Pairs of different components within a bucket whose bound holds; points: key, k, cid, component, n, vec."""
+    """Pairs of different components within a cluster whose bounds hold; points: key, k, cid, component, n, vec, fine."""
     # Leaves by size: a link's sizes are within num/den, so leaves of far sizes are not even paired.
     leaf = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int")
     many = F.greatest(F.lit(1), F.ceil(F.col("k") / LEAF)).cast("int")
@@ -339,11 +383,12 @@ def _leaf_join(points: DataFrame, num: int, den: int, parts: int) -> DataFrame:
     i = F.when(here == 0, F.least("slot", "other")).when(here == 1, F.col("slot")).otherwise(F.col("other"))
     j = F.when(here == 0, F.greatest("slot", "other")).when(here == 1, F.col("other")).otherwise(F.col("slot"))
     wide = F.when(here == 0, 0).otherwise(1)
-    p = p.select(F.xxhash64("key", low, wide, i, j).alias("g"), "level", "slot", "cid", "component", "n", "vec")
+    p = p.select(F.xxhash64("key", low, wide, i, j).alias("g"), "level", "slot", "cid", "component", "n", "vec", "fine")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, 1):
             level, slot, cid, comp, n = (t.column(c).to_numpy() for c in ("level", "slot", "cid", "component", "n"))
+            fine = t.column("fine").to_pylist()
             v = np.stack(t.column("vec").combine_chunks().to_numpy(zero_copy_only=False)).astype(np.int32)
             side = level.astype(np.int64) * (1 << 31) + slot
             kinds = np.unique(side)
@@ -354,7 +399,9 @@ def _leaf_join(points: DataFrame, num: int, den: int, parts: int) -> DataFrame:
             for x in left:
                 top = np.minimum(v[x], v[right]).sum(axis=1)
                 ok = (comp[right] != comp[x]) & (top * (den + num) >= (n[x] + n[right]) * num)
-                hit = cid[right][ok]
+                ok = right[ok]
+                ok = ok[[overlap_bound(fine[x], fine[y]) * (den + num) >= (n[x] + n[y]) * num for y in ok.tolist()]] if len(ok) else ok
+                hit = cid[ok]
                 if len(hit):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hit, cid[x])), pa.array(np.maximum(hit, cid[x]))], names=["a", "b"])
 
