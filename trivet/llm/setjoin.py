@@ -112,6 +112,23 @@ def _describe(h: np.ndarray) -> tuple[int, str, np.ndarray]:
     return _class_id(h), xxhash.xxh128_hexdigest(raw), np.bincount((h & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
 
 
+def least_shared(h: np.ndarray, num: int, den: int) -> int:
+    """How many keys at least a set has in common with any set that links with it.
+
+    Of spare + 1 equal blocks those that are empty in the set have no key, unless it keeps them all.
+    """
+    out = []
+    k, low, high = _size_class(len(h), num, den)
+    for high in [high, *([(high + 1) * den**3 // num**3] if len(h) * den // num > high else [])]:
+        most = (den - num) * 2 * high // (den + num)
+        if most:
+            spare = 2 + ceil(0.04 * most)
+            blocks = most + 1 + spare
+            empty = blocks - len(np.unique(((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)))
+            out.append(spare + 1 - (empty if empty <= spare else 0))
+    return min(out, default=1)
+
+
 def fine_counts(h: np.ndarray) -> bytes:
     """A count vector with about two shingles a coordinate, a byte each; twice the coordinates while a count is over 255."""
     groups = GROUPS
@@ -218,7 +235,7 @@ def jaccard_components(
 
     Each class first verifies the partner with which it shares most buckets; only pairs that are
     still in different components are verified after that. Crowded buckets (over 16 classes) that
-    still hold several components form clusters, each joined once, leaf by leaf: a leaf holds about
+    still hold several components form clusters of the sets that meet often enough, each joined once, leaf by leaf: a leaf holds about
     512 points of like size, and leaves whose boxes cannot reach the overlap are skipped. No step emits all pairs of a
     group; no link between different sets is lost.
 
@@ -299,14 +316,15 @@ def jaccard_components(
                 [
                     pa.array([b.column(0)[i].as_py() for i in keep], pa.int64()),
                     pa.array([len(hs[i]) for i in keep], pa.int64()),
+                    pa.array([least_shared(hs[i], num, den) for i in keep], pa.int64()),
                     pa.array([fine_counts(hs[i]) for i in keep], pa.binary()),
                     pa.array([hs[i].view(np.int64) for i in keep], pa.list_(pa.int64())),
                 ],
-                names=["cid", "n", "fine", "h"],
+                names=["cid", "n", "need", "fine", "h"],
             )
 
     texts = own.where("text is not null").withColumn("s", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sets = texts.join(rep.select("s", "cid"), "s").select("cid", "text").mapInArrow(whole, "cid long, n long, fine binary, h array<long>")
+    sets = texts.join(rep.select("s", "cid"), "s").select("cid", "text").mapInArrow(whole, "cid long, n long, need long, fine binary, h array<long>")
     # An id may repeat with one text: such rows give the same set twice.
     sets = cut(sets, "sets")
     twins = sized.where("cid is not null").groupBy("cid", "doc_id").agg(F.count("*").alias("k")).where("k > 1").limit(1).count()
@@ -341,6 +359,10 @@ def jaccard_components(
     links = links.unionByName(rest)
     comp = components(links)
 
+    # Pairs that meet in any other bucket are done. A set whose crowded buckets are fewer than the keys
+    # that a link shares (a common passage, say, fills only a few blocks) links with none through them.
+    often = crowd.groupBy("cid").agg(F.count("*").alias("met")).join(sets.select("cid", "need"), "cid").where("met >= need")
+    crowd = crowd.join(often.select("cid"), "cid", "left_semi")
     # Crowded buckets that still hold several components; those that share a component are one cluster.
     at = crowd.join(comp.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     kinds = at.select("key", "component").distinct()
