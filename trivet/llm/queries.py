@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trivet.llm.capfilters import cap_links
 from trivet.llm.langid import identify
-from trivet.llm.linededup import dedup_lines
+from trivet.llm.linededup import dedup_lines, dedup_runs
 from trivet.llm.linerules import line_rules
 from trivet.llm.common import hash60
 from trivet.llm.mixing import mix
@@ -67,6 +67,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
+def op5_line_dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages whole; `op5_line_dedup` is held to its SQL, which leaves one-line chunks."""
+    out = dedup_runs(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules(_read(spark, sf_dir, "documents"))
 
@@ -94,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sentencepiece": op3_sentencepiece,
         "op4_url_filter": op4_url_filter,
         "op5_line_dedup": op5_line_dedup,
+        "op5_line_dedup_runs": op5_line_dedup_runs,
         "op6_line_rules": op6_line_rules,
         "op7_quality_rank": op7_quality_rank,
         "op8_warc": op8_warc,
@@ -167,6 +174,20 @@ SELECT d.doc_id, coalesce(o.n_lines, 0) AS n_lines, coalesce(o.n_removed, 0) AS
 FROM documents d LEFT JOIN o ON d.doc_id = o.doc_id
 """
 
+_LINE_RUNS = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL),
+w AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS nx FROM l),
+g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY line || chr(10) || nx ORDER BY doc_id, i) AS rn FROM w WHERE nx IS NOT NULL),
+x AS (SELECT doc_id, i FROM g WHERE rn > 1 UNION SELECT doc_id, i + 1 FROM g WHERE rn > 1),
+y AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM x),
+z AS (SELECT y.doc_id, y.i, bool_or(regexp_matches(line, '[^\x20\x09-\x0D]')) OVER (PARTITION BY y.doc_id, run) AS word FROM y JOIN l ON y.doc_id = l.doc_id AND y.i = l.i),
+o AS (SELECT l.doc_id, count(*) AS n_lines, count(z.i) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE z.i IS NULL), '') AS t
+      FROM l LEFT JOIN z ON l.doc_id = z.doc_id AND l.i = z.i AND z.word GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(o.n_lines, 0) AS n_lines, coalesce(o.n_removed, 0) AS n_removed, md5(o.t) AS text_md5
+FROM documents d LEFT JOIN o ON d.doc_id = o.doc_id
+"""
+
 _LINE_RULES = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -198,4 +219,4 @@ FROM b
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": _MIX, "op4_url_filter": _URL_FILTER, "op5_line_dedup": _LINE_DEDUP, "op6_line_rules": _LINE_RULES}
+    return {"op1_mix_sources": _MIX, "op4_url_filter": _URL_FILTER, "op5_line_dedup": _LINE_DEDUP, "op5_line_dedup_runs": _LINE_RUNS, "op6_line_rules": _LINE_RULES}
