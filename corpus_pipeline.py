@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trivet.llm import langid
 from trivet.llm.common import WORD, cut
-from trivet.llm.linededup import dedup_lines
+from trivet.llm.linededup import dedup_runs
 from trivet.llm.mixing import mix
 from trivet.llm.pieces import encode_pieces
 from trivet.llm.queries import piece_model
@@ -27,8 +27,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go from the texts; a document that loses all its words goes too."""
-    out = dedup_lines(docs, carry=("lang", "source"))
+    """Repeated passages of lines go whole from the texts; a document that loses all its words goes too."""
+    out = dedup_runs(docs, carry=("lang", "source"))
     kept = (F.col("n_removed") == 0) | F.col("text").rlike(WORD)
     return out.where(kept).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

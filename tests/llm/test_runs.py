@@ -2,8 +2,10 @@
 
 import random
 
+import test_pipeline as whole
 from test_ops import WORD, docs
 
+import corpus_pipeline
 from trivet.llm.linededup import dedup_runs
 
 
@@ -49,3 +51,24 @@ def test_repeated_passages_go_whole(spark):
         assert "\n" not in t or not WORD.search(got[100 + i]["text"])
     assert got[201]["text"] == "" and got[203]["text"] == "\n\n" and got[300]["text"] is None
     assert dedup_runs(docs(spark, []).limit(0)).count() == 0
+
+
+def test_pipeline_drops_copies_whole(spark):
+    rng = random.Random(8)
+    texts = ["\n".join(f"line {rng.random()} of the text" for _ in range(6)) for _ in range(40)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(100 + i, t, "en", "s") for i, t in enumerate(texts)]
+    rows += [(200 + i, f"alone {rng.random()}\n{t}\nalone {rng.random()}", "en", "s") for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs(spark, rows), "").collect()}
+    assert set(got) == {*range(40), *range(200, 240)}
+    assert all(got[i] == t for i, t in enumerate(texts)) and all(len(got[200 + i].split("\n")) == 2 for i in range(40))
+
+
+def test_pipeline_with_whole_passages(spark, tmp_path, monkeypatch):
+    """The program of test_pipeline with passages removed whole."""
+
+    def plain(rows):
+        kept = plain_runs([r[:2] for r in rows])
+        return [(i, "\n".join(kept[i]), g, s) for i, t, g, s in sorted(rows) if len(kept[i]) == len(t.split("\n")) or WORD.search("\n".join(kept[i]))]
+
+    monkeypatch.setattr(whole, "plain_lines", plain)
+    whole.test_pipeline(spark, tmp_path)
