@@ -113,9 +113,12 @@ def _describe(h: np.ndarray) -> tuple[int, str, np.ndarray]:
 
 
 def least_shared(h: np.ndarray, num: int, den: int) -> int:
-    """How many keys at least a set has in common with any set that links with it.
+    """How many keys at least a set has in common with any other set that links with it.
 
-    Of spare + 1 equal blocks those that are empty in the set have no key, unless it keeps them all.
+    A set of n shingles differs from one that it links with in at most n * (den - num) / num of them,
+    so in as many blocks at most; all others are equal. Those that are empty in both have no key
+    unless both sets keep their empty blocks: at most the set's empty blocks where it drops them, and
+    where it keeps them at most `spare`, as a partner that drops them has no more.
     """
     out = []
     k, low, high = _size_class(len(h), num, den)
@@ -125,7 +128,7 @@ def least_shared(h: np.ndarray, num: int, den: int) -> int:
             spare = 2 + ceil(0.04 * most)
             blocks = most + 1 + spare
             empty = blocks - len(np.unique(((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)))
-            out.append(spare + 1 - (empty if empty <= spare else 0))
+            out.append(blocks - min(most, len(h) * (den - num) // num) - min(empty, spare))
     return min(out, default=1)
 
 
