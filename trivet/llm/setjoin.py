@@ -229,7 +229,7 @@ def jaccard_components(
 
     Sets are points: shingle hashes fall into groups and the group counts are coordinates. Over
     coordinates of whole documents alone a box holds nearly every query (unrelated sets of one size
-    have nearly equal counts), so the first level of the tree splits by exact sub-vectors of the
+    have nearly equal counts; an estimate), so no tree is built: sets meet by exact sub-vectors of the
     count vector (`sub_vectors`), one of which linked sets must share. Within these buckets two
     points are a candidate if the sum of their coordinate minima reaches the overlap that a link
     needs, first on coarse, then on vectors as fine as half the set,
