@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trivet.functions import vectors as V
 from trivet.operators.graph import components
+from trivet.storage import cut
 
 K = "mesh_id"
 
@@ -105,8 +106,17 @@ def orphan_vertices(faces: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def dense_reindex(faces: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New vertex ids from 0 in order of the old ones; faces follow, and keep their fid."""
-    rank = vertices.withColumn("new", F.row_number().over(Window.partitionBy(K).orderBy("vid")).cast("long") - 1)
+    """New vertex ids from 0 in order of the old ones; faces follow, and keep their fid.
+
+    Vertices are dealt by ranges of (mesh_id, vid) and numbered within a range from the count of the
+    mesh's vertices in the ranges before, so that no task holds a large mesh.
+    """
+    parts = max(1, int(vertices.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut(vertices.repartitionByRange(parts, K, "vid").withColumn("_part", F.spark_partition_id()), "vertex-ranges")
+    before = Window.partitionBy(K).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(K, "_part").agg(F.count("*").alias("_n")).select(K, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(K, "_part").orderBy("vid")).cast("long") - 1
+    rank = dealt.withColumn("_place", place).join(starts, [K, "_part"]).withColumn("new", F.col("_start") + F.col("_place"))
     out = faces
     for i in range(3):
         out = out.join(rank.select(K, F.col("vid").alias(f"v{i}"), F.col("new").alias(f"n{i}")), [K, f"v{i}"])

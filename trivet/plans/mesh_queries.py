@@ -99,6 +99,25 @@ def mesh_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("mesh_id", F.round("area", 3).alias("area"), (F.round("volume", 3) + 0).alias("volume"))
 
 
+@query(f"""WITH {MESH}, r AS (SELECT vid, row_number() OVER (ORDER BY vid) - 1 AS n FROM pv)
+SELECT f.mesh_id, f.fid, a.n AS v0, b.n AS v1, c.n AS v2 FROM m1 f JOIN r a ON f.v0 = a.vid JOIN r b ON f.v1 = b.vid JOIN r c ON f.v2 = c.vid""")
+def mesh_dense_reindex_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mesh.dense_reindex(*one_mesh(spark, sf_dir))[0]
+
+
+@query(f"""WITH {MESH} SELECT mesh_id, count(*) AS n_vertices, CAST(0 AS BIGINT) AS nan_vertices, CAST(0 AS BIGINT) AS inf_vertices, min(x) AS min_x, min(y) AS min_y, min(z) AS min_z,
+max(x) AS max_x, max(y) AS max_y, max(z) AS max_z, max(x) - min(x) AS extent_x, max(y) - min(y) AS extent_y, max(z) - min(z) AS extent_z FROM pv GROUP BY mesh_id""")
+def mesh_bbox_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mesh.vertex_stats(one_mesh(spark, sf_dir)[1])
+
+
+@query(f"""WITH {MESH} SELECT CAST(0 AS BIGINT) AS mesh_id, round(sum(sqrt(nx*nx + ny*ny + nz*nz) / 2), 2) AS area,
+round(sum((x0*(y1*z2-z1*y2) + y0*(z1*x2-x1*z2) + z0*(x1*y2-y1*x2)) / 6), 0) + 0 AS volume FROM n2""")
+def mesh_area_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = mesh.area_volume(*one_mesh(spark, sf_dir))
+    return a.select("mesh_id", F.round("area", 2).alias("area"), (F.round("volume", 0) + 0).alias("volume"))
+
+
 @query(f"""WITH {MESH}, v AS (SELECT mesh_id, count(*) AS v FROM v2m GROUP BY 1), e AS (SELECT mesh_id, count(*) AS e FROM ec GROUP BY 1), f AS (SELECT mesh_id, count(*) AS f FROM m2 GROUP BY 1)
 SELECT v.mesh_id, v - e + f AS euler FROM v JOIN e ON v.mesh_id = e.mesh_id JOIN f ON v.mesh_id = f.mesh_id""")
 def mesh_euler(spark: SparkSession, sf_dir: str) -> DataFrame:
