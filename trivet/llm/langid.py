@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 from trivet.llm.common import hash60
 
 BITS = 16  # n-grams of each length are hashed to 2**BITS columns
-LETTER = re.compile(r"[^\W\d_]")
+_MAYBE = re.compile(r"[^\W\d_]")  # letters, and a few numbers such as superscripts
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of the text is of Unicode category L."""
+    return any(m[0].isalpha() for m in _MAYBE.finditer(text))
 
 
 def ngram_flags(text: str, flags: np.ndarray, lengths: int) -> None:
@@ -46,7 +51,7 @@ class LanguageModel:
         norm = np.ones(len(texts))
         known = np.zeros(len(texts), bool)
         for i, t in enumerate(texts):
-            if self.langs and t is not None and LETTER.search(t):
+            if self.langs and t is not None and has_letter(t):
                 ngram_flags(t, flags, self.lengths)
                 x[i] = flags[self.cols]
                 norm[i] = max(1, np.count_nonzero(flags)) ** 0.5
@@ -115,24 +120,26 @@ def train(
     max_rows: int = 20_000,
     max_langs: int = 250,
     max_chars: int = 20_000,
+    max_total: int = 40_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> LanguageModel:
     """Fits on a bounded sample: per language the per_lang texts with the smallest id hash, of those with
-    1 to max_chars characters; at most max_rows in all. More than max_langs languages are an error."""
+    1 to max_chars characters; at most max_rows and max_total characters in all. Of more than max_langs
+    languages the most frequent are learned (ties by name)."""
     d = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where("l is not null and t is not null")
     d = d.where(F.length("t").between(1, max_chars)).withColumn("h", hash60(F.coalesce(F.col("i").cast("string"), F.md5("t"))))
-    counts = {r["l"]: r["count"] for r in d.groupBy("l").count().orderBy("l").limit(max_langs + 1).collect()}
-    if len(counts) > max_langs:
-        raise ValueError(f"more than {max_langs} languages to learn")
+    counts = {r["l"]: r["count"] for r in d.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_langs).collect()}
     if not counts:
         return fit([], [])
     most = max(1, min(per_lang, max_rows // len(counts)))
     below = F.lit(0)
     for lang, n in counts.items():  # twice the rows wanted; the exact number follows
         below = F.when(F.col("l") == lang, int(min(1.0, 2 * most / n + 0.0) * ((1 << 60) - 1))).otherwise(below)
-    few = d.where(F.col("h") <= below).withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "i"))).where(F.col("r") <= most)
+    first = Window.partitionBy("l").orderBy("h", "i")
+    few = d.where(F.col("h") <= below).withColumn("r", F.row_number().over(first)).where(F.col("r") <= most)
+    few = few.withColumn("c", F.sum(F.length("t")).over(first.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("c") <= max_total // len(counts))
     got = sorted(((r["l"], r["h"], r["t"]) for r in few.select("l", "h", "t").collect()))
     return fit([x[2] for x in got], [x[0] for x in got])
 
@@ -161,7 +168,11 @@ def predict_languages(
 
 
 def identify(docs: DataFrame, parts: int = 4, part: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Learns from the rows that are not held out and predicts all: (doc_id, held_out, lang_pred, score)."""
+    """Learns from the rows that are not held out and predicts all: (doc_id, held_out, lang_pred, score).
+
+    A row for each input row; repeated rows and ties of ids are rows of their own, an empty table gives
+    an empty result, and where no row has a language every text is und.
+    """
     model = train(docs.where(~held_out(F.col(id_col), parts, part)), id_col=id_col, text_col=text_col, lang_col=lang_col)
     out = predict_languages(docs, model, id_col, text_col)
     return out.select("doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"), "lang_pred", "score")
