@@ -24,10 +24,12 @@ class PieceCodec:
     character, and none joins a line feed to anything, so no merge can cross such a place (both are
     checked when the vocabulary is read; where one fails, texts are cut less). Segments repeat, so
     their ids are kept in a bounded memo; the new segments of a batch are merged together, one
-    agenda a row, and compared with the sentencepiece library, ids and decoded text.
+    agenda a row, and compared with the sentencepiece library, ids and decoded text. Where a segment
+    differs, the texts that hold it take the library's ids. The memo is emptied at `memo` bytes, and
+    segments of over 64 characters are forgotten after their slice.
     """
 
-    def __init__(self, path: str, memo: int = 600_000):
+    def __init__(self, path: str, memo: int = 80_000_000):
         import sentencepiece
 
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -68,7 +70,8 @@ class PieceCodec:
         self.lf_alone = not lf
         self.simple = not lf and not inner
         self.memo: dict[str, bytes] = {}
-        self.most = memo
+        self.most, self.kept = memo, 0
+        self.odd: set[str] = set()
 
     def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rank of each pair (NONE where it makes no piece) and the piece it makes."""
@@ -181,13 +184,15 @@ class PieceCodec:
                 flat.append(np.array(self._merge_one(s)))
                 sizes.append(np.array([len(flat[-1])]))
         ids, size = np.concatenate(flat).astype("<u4"), np.concatenate(sizes)
-        self._check(order, ids, size)
+        if not self._same(order, ids, size):
+            start = np.cumsum(size) - size
+            self.odd |= {s for s, a, n in zip(order, start.tolist(), size.tolist(), strict=True) if not self._same([s], ids[a : a + n], np.array([n]))}
         end = np.cumsum(size) * 4
         packed = ids.tobytes()
         self.memo.update(zip(order, map(packed.__getitem__, map(slice, (end - size * 4).tolist(), end.tolist())), strict=True))
 
-    def _check(self, order: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        """Raises if the library encodes segments, or decodes their ids, otherwise.
+    def _same(self, order: list[str], ids: np.ndarray, size: np.ndarray) -> bool:
+        """Whether the library encodes segments, and decodes their ids, alike.
 
         Line feeds between the segments keep them apart in one text; where a line feed may merge,
         only segments that start with one space are compared, one by one.
@@ -198,12 +203,9 @@ class PieceCodec:
             lf = np.array(self.lib.encode("\n"), "<u4")
             start = np.cumsum(size) - size
             ours = np.insert(ids, np.repeat(start, len(lf) - 1), np.tile(lf[1:], len(order)))
-            same = np.array_equal(theirs, np.concatenate([lf[:1], ours])) and self.lib.decode(theirs.tolist()) == self.decode(theirs)
-        else:
-            part = np.split(ids, np.cumsum(size)[:-1])
-            same = all(self.lib.encode(s[1:]) == x.tolist() for s, x in zip(order, part, strict=True) if s[0] == SP and len(s) > 1)
-        if not same:
-            raise RuntimeError("the agenda and the sentencepiece library disagree")
+            return np.array_equal(theirs, np.concatenate([lf[:1], ours])) and self.lib.decode(theirs.tolist()) == self.decode(theirs)
+        part = np.split(ids, np.cumsum(size)[:-1])
+        return all(self.lib.encode(s[1:]) == x.tolist() for s, x in zip(order, part, strict=True) if s[0] == SP and len(s) > 1)
 
     def segments(self, text: str) -> list[str]:
         """Some of the segments may be empty."""
@@ -214,20 +216,35 @@ class PieceCodec:
             return text.replace("\n", f"{MARK}\n{MARK}").replace(SP, MARK + SP).split(MARK)
         return self.cut.findall(text)
 
+    def by_library(self, text: str) -> tuple[bytes, str]:
+        ids = self.lib.encode(text, add_bos=True, add_eos=True)
+        return np.array(ids, "<u4").tobytes(), self.lib.decode(ids)
+
     def run(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """For each text the packed ids with begin and end, and the text that they decode to."""
         bos, eos = (np.array([i], "<u4").tobytes() for i in (self.lib.bos_id(), self.lib.eos_id()))
         memo = self.memo
-        if len(memo) > self.most:
+        if self.kept > self.most:
             memo.clear()
+            self.odd.clear()
+            self.kept = 0
         memo[""] = b""
         cut = [self.segments(t) for t in texts]
         new = set().union(*cut).difference(memo)
         if new:
             self.learn(list(new))
-        for c in cut:
+            self.kept += sum(200 + 2 * len(s) for s in new)
+        for t, c in zip(texts, cut, strict=True):
+            if self.odd and not self.odd.isdisjoint(c):
+                yield self.by_library(t)
+                continue
             ids = b"".join([bos, *map(memo.__getitem__, c), eos])
             yield ids, self.decode(np.frombuffer(ids, "<u4"))
+        for s in new:
+            if len(s) > 64:
+                del memo[s]
+                self.odd.discard(s)
+                self.kept -= 200 + 2 * len(s)
 
 
 _codecs: dict[str, PieceCodec] = {}
@@ -247,7 +264,10 @@ def encode_pieces(
     keep_ids adds `ids` (packed little-endian unsigned 32-bit) and `decoded`. Null text is empty:
     its ids are begin and end. model_path must be readable on every executor. Batches are worked
     through in slices of about a million characters, so memory is bounded by the longest text.
-    One text of each slice is compared with the library as a whole, besides every new segment.
+    One text of each slice is compared with the library as a whole, besides every new segment; where
+    either differs, the text takes the library's ids. A row for each input row: repeated rows and
+    equal texts get equal results, an empty table gives an empty one, and columns that are not in
+    carry are ignored, whatever their names.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"_c_{c}") for c in carry])
     extra = ", binary('') as ids, '' as decoded" if keep_ids else ""
@@ -264,9 +284,8 @@ def encode_pieces(
                     size += len(texts[-1])
                     b += 1
                 got = list(codec.run(texts))
-                first = codec.lib.encode(texts[0], add_bos=True, add_eos=True)
-                if np.array(first, "<u4").tobytes() != got[0][0] or codec.lib.decode(first) != got[0][1]:
-                    raise RuntimeError("the agenda and the sentencepiece library disagree on a text")
+                if (first := codec.by_library(texts[0])) != got[0]:
+                    got = [first, *map(codec.by_library, texts[1:])]
                 part = whole.slice(a, b - a)
                 cols = [part.column(0), *part.columns[2:]]
                 cols += [
