@@ -30,9 +30,9 @@ def train_dictionary(samples: list[bytes], size: int = 112_640) -> bytes:
         return b""
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
     """One WARC/1.1 record; a revisit has no payload, but its length and digest are those of the page."""
-    kind = "response" if refers_to is None else "revisit"
+    kind = "revisit" if revisit else "response"
     body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (payload if kind == "response" else b"")
     head = [
         "WARC/1.1",
@@ -46,7 +46,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         f"X-Payload-Length: {len(payload)}",
     ]
     if kind == "revisit":
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-Id: {refers_to}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-Id: {'' if refers_to is None else refers_to}"]
     head.append(f"Content-Length: {len(body)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
@@ -100,35 +100,34 @@ def write_archives(
     The dictionary is trained on the driver from the dict_samples pages with the smallest id hash
     among those of at most dict_max_record bytes (bounds on the training alone), and leads every
     archive in a skippable frame; each record is a frame of its own. Of pages with one payload of
-    min_payload bytes or more the one with the smallest id (null last) is the response; the others
-    are revisits that name it. Smallest ids come from a map-side aggregate on the payload's
+    min_payload bytes or more the one with the smallest id (null last, then the first row) is the
+    response; the others are revisits that name it. Rows are told apart by their place in the scan, so
+    pages must read alike each time, as files do. Smallest ids come from a map-side aggregate on the payload's
     SHA-256, and payloads that occur once need no join partner; hot payloads are salted.
 
-    Null html is an empty payload; rows that repeat one page id and payload are all responses if the
-    first is one. An archive is written under a name of its attempt and renamed when whole, so a lost
+    Null html is an empty payload; of rows that repeat one page id and payload one at most is the
+    response. An empty table gives a folder without archives; other columns are ignored. An archive is written under a name of its attempt and renamed when whole, so a lost
     or doubled task leaves no part behind. The folder must be one that pyarrow's file systems open
     (file, hdfs, s3, gs); it lies in the shared folder unless given.
     """
     spark = pages.sparkSession
     folder = folder or new_path(spark, "warc")
-    p = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    p = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), F.monotonically_increasing_id().alias("row"))
     h = hash60(F.coalesce(F.col("page_id").cast("string"), F.lit("")))
     share = p.count()
     sample = p.where(F.octet_length("html").between(1, dict_max_record)).where(h < int(min(1.0, 2.0 * dict_samples / max(1, share)) * (1 << 60)))
     few = sample.withColumn("h", h).orderBy("h").limit(dict_samples).collect()
-    dictionary = train_dictionary([record(r["page_id"], r["url"], x := r["html"].encode(), _digest(x), None) for r in few])
+    dictionary = train_dictionary([record(r["page_id"], r["url"], x := r["html"].encode(), _digest(x), None, False) for r in few])
 
-    id_order = F.struct(F.col("page_id").isNull().alias("n"), F.col("page_id").alias("v"))
-    ids = p.select("page_id", F.sha2("html", 256).alias("d"), F.octet_length("html").alias("b")).where(F.col("b") >= min_payload)
+    id_order = F.struct(F.col("page_id").isNull().alias("n"), F.col("page_id").alias("v"), F.col("row").alias("r"))
+    ids = p.select("page_id", "row", F.sha2("html", 256).alias("d"), F.octet_length("html").alias("b")).where(F.col("b") >= min_payload)
     salts = 16
-    salt = F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int")
     twice = ids.groupBy("d").agg(F.min(id_order).alias("first"), F.count("*").alias("k")).where("k > 1")
-    twice = twice.select("d", F.col("first.v").alias("refers"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("s"))
-    later = ids.withColumn("s", salt).join(twice, ["d", "s"]).where(~F.col("page_id").eqNullSafe(F.col("refers")))
-    # The page of a revisit: its id, its payload's digest (a page id may repeat with other payloads).
-    later = later.select(F.col("page_id").alias("rp"), F.col("d").alias("rd"), "refers").distinct()
+    twice = twice.select("d", F.col("first.v").alias("refers"), F.col("first.r").alias("fr"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("s"))
+    later = ids.withColumn("s", salt).join(twice, ["d", "s"]).where("row <> fr").select("row", "d", "refers", F.lit(True).alias("again"))
     p = p.withColumn("d", F.sha2("html", 256))
-    todo = p.join(later, p["page_id"].eqNullSafe(later["rp"]) & (p["d"] == later["rd"]), "left").select("page_id", "url", "html", "refers")
+    todo = p.join(later, ["row", "d"], "left").select("page_id", "url", "html", "refers", F.coalesce("again", F.lit(False)).alias("again"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
@@ -142,9 +141,9 @@ def write_archives(
             out.write(dictionary_frame(dictionary))
             for b in batches:
                 for i in range(b.num_rows):
-                    page, url, html, refers = (c[i].as_py() for c in b.columns)
+                    page, url, html, refers, again = (c[i].as_py() for c in b.columns)
                     payload = html.encode()
-                    out.write(zip_.compress(record(page, url, payload, _digest(payload), refers)))
+                    out.write(zip_.compress(record(page, url, payload, _digest(payload), refers, again)))
                     n += 1
         fs.move(draft, f"{name}.warc.zst")
         yield pa.RecordBatch.from_arrays([pa.array([f"{name}.warc.zst"]), pa.array([n], pa.int64())], names=["file", "n"])
