@@ -3,7 +3,7 @@
 import hashlib
 import random
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import sentencepiece
@@ -14,32 +14,32 @@ from trivet.llm import langid
 from trivet.llm.queries import piece_model
 
 
-def plain_lines(rows):
-    """The text of each row without chunks of lines that stand earlier; rows that lose all words go."""
-    chunks = defaultdict(list)
-    cut = {}
-    for i, t, *_ in rows:
-        lines = t.split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        ends = [k for k in range(len(lines)) if k == len(lines) - 1 or (k and ((h[k - 1] % 2**31) * 1_000_003 + h[k]) % 2**31 % 2 == 0)]
-        cut[i] = [lines[a + 1 : b + 1] for a, b in zip([-1, *ends], ends)]
-        for c in cut[i]:
-            if len(c) > 1 and WORD.search("\n".join(c)):
-                chunks["\n".join(c)].append(i)
-    out, seen = [], set()
-    for i, t, g, s in sorted(rows):
-        kept = []
-        for c in cut[i]:
-            body = "\n".join(c)
-            if body not in chunks or body not in seen:
-                kept.append(c)
-            seen.add(body)
-        text = "\n".join(x for c in kept for x in c)
-        if len(kept) == len(cut[i]) or WORD.search(text):
-            out.append((i, text, g, s))
+def plain_runs(rows):
+    """The lines that stay of each row (id, text), in order of ids."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        a, gone = t.split("\n"), set()
+        for k in range(len(a) - 1):
+            if (a[k], a[k + 1]) in seen:
+                gone |= {k, k + 1}
+            seen.add((a[k], a[k + 1]))
+        run, drop = [], set()
+        for k in range(len(a) + 1):
+            if k in gone:
+                run.append(k)
+            else:
+                drop |= set(run) if any(WORD.search(a[j]) for j in run) else set()
+                run = []
+        out[i] = [x for k, x in enumerate(a) if k not in drop]
     return out
 
 
+def plain_lines(rows):
+    """The text of each row without the passages of lines that stand earlier; rows that lose all words go."""
+    kept = plain_runs([r[:2] for r in rows])
+    return [(i, "\n".join(kept[i]), g, s) for i, t, g, s in sorted(rows) if len(kept[i]) == len(t.split("\n")) or WORD.search("\n".join(kept[i]))]
+
+
 def plain_mix(rows):
     size = {i: len(WORD.findall(t)) for i, t, *_ in rows}
     total = Counter()

@@ -2,33 +2,13 @@
 
 import random
 
-import test_pipeline as whole
 from test_ops import WORD, docs
+from test_pipeline import plain_runs
 
 import corpus_pipeline
 from trivet.llm.linededup import dedup_runs
 
 
-def plain_runs(rows):
-    """The lines that stay of each row (id, text), in order of ids."""
-    seen, out = set(), {}
-    for i, t in sorted(rows):
-        a, gone = t.split("\n"), set()
-        for k in range(len(a) - 1):
-            if (a[k], a[k + 1]) in seen:
-                gone |= {k, k + 1}
-            seen.add((a[k], a[k + 1]))
-        run, drop = [], set()
-        for k in range(len(a) + 1):
-            if k in gone:
-                run.append(k)
-            else:
-                drop |= set(run) if any(WORD.search(a[j]) for j in run) else set()
-                run = []
-        out[i] = [x for k, x in enumerate(a) if k not in drop]
-    return out
-
-
 def test_repeated_passages_go_whole(spark):
     rng = random.Random(6)
     line = lambda: " ".join(rng.choice("abcdefgh") * 3 for _ in range(6)) + str(rng.random())
@@ -61,14 +41,3 @@ def test_pipeline_drops_copies_whole(spark):
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs(spark, rows), "").collect()}
     assert set(got) == {*range(40), *range(200, 240)}
     assert all(got[i] == t for i, t in enumerate(texts)) and all(len(got[200 + i].split("\n")) == 2 for i in range(40))
-
-
-def test_pipeline_with_whole_passages(spark, tmp_path, monkeypatch):
-    """The program of test_pipeline with passages removed whole."""
-
-    def plain(rows):
-        kept = plain_runs([r[:2] for r in rows])
-        return [(i, "\n".join(kept[i]), g, s) for i, t, g, s in sorted(rows) if len(kept[i]) == len(t.split("\n")) or WORD.search("\n".join(kept[i]))]
-
-    monkeypatch.setattr(whole, "plain_lines", plain)
-    whole.test_pipeline(spark, tmp_path)
