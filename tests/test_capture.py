@@ -134,3 +134,13 @@ def test_sinks(spark):
     assert [r["copy_name"] for r in sinks.copy_names(s).orderBy("path").collect()] == ["X.jpg", "00001_x.jpg", "y.jpg"]
     r = sinks.report(spark.createDataFrame([(1, 1.23456, None)], "k long, a double, b string"), "k", {"a": 2}).first()["body"]
     assert r == '{"k":1,"a":1.23,"b":null}'
+
+
+def test_config_sections():
+    c = config.from_mapping({"name": "n", "video": {"sample_interval": 2, "target_fps": 15}, "export": {"format": "ply"}, "scaling": {"reference": {"type": "manual", "size_mm": 20}, "measurement": {"tolerance": 0.1}}, "printability": {"target_bed_size_mm": [1, 2, 3]}, "mesh": None})
+    assert (c.name, c.video.sample_interval, c.video.target_fps, c.export.format, c.scaling.strategy, c.scaling.marker_size_mm, c.scaling.tolerance) == ("n", 2, 15, "ply", "manual", 20.0, 0.1)
+    assert c.printability.target_bed_size_mm == (1, 2, 3) and c.mesh.max_hole_size == 30 and len(config.MARKER_DICTIONARIES) == 17
+    with pytest.warns(UserWarning, match="frame_interval"):
+        config.from_mapping({"video": {"frame_interval": 2}})
+    with pytest.raises(ValueError):
+        config.from_mapping([1])
