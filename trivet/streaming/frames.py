@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from trivet.storage import new_path
+
 K = "video_id"
 
 
@@ -71,7 +73,21 @@ def neighbour_pairs(frames: DataFrame, ahead: int = 3) -> DataFrame:
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over all that is there, into a table in memory, and returns the table."""
-    q = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    """Runs a stream over all that is there, into tables in the shared folder, and returns what they hold.
+
+    A batch is written under its number, so one that is run again replaces itself. In complete mode
+    the last batch is the result, in the others all are.
+    """
+    spark, path = stream.sparkSession, new_path(stream.sparkSession, name)
+    done: set[int] = set()
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        done.add(number)
+
+    q = stream.writeStream.outputMode(mode).option("checkpointLocation", new_path(spark, f"{name}-state")).foreachBatch(write).trigger(availableNow=True).start()
     q.awaitTermination()
-    return stream.sparkSession.table(name)
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    read = [max(done)] if mode == "complete" else sorted(done)
+    return spark.read.schema(stream.schema).parquet(*[f"{path}/batch={n}" for n in read])
