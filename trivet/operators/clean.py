@@ -18,6 +18,7 @@ def clean(faces: DataFrame, vertices: DataFrame, area_threshold: float = 1e-7, d
     no vertex go; then faces without area, later copies of a face, and vertices that no face names.
     Vertex ids become dense in order of the old ones. Counters: one row a mesh.
     """
+    faces, vertices = cut(faces, "clean"), cut(vertices, "clean")
     good = vertices.where(~M.bad_vertex())
     bad_v = vertices.where(M.bad_vertex())
     corners = faces.select(K, "fid", F.explode(F.array("v0", "v1", "v2")).alias("vid"))
@@ -47,9 +48,9 @@ def clean(faces: DataFrame, vertices: DataFrame, area_threshold: float = 1e-7, d
     return out_f, out_v, c
 
 
-def component_stats(faces: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Vertices, faces, box and area of each face component, numbered by smallest fid."""
-    f = cut(faces.join(M.face_components(faces), [K, "fid"]), "parts")
+def component_stats(faces: DataFrame, vertices: DataFrame, comp: DataFrame | None = None) -> DataFrame:
+    """Vertices, faces, box and area of each face component (comp, where known), numbered by smallest fid."""
+    f = cut(faces.join(comp or M.face_components(faces), [K, "fid"]), "parts")
     used = f.select(K, "component", F.explode(F.array("v0", "v1", "v2")).alias("vid")).distinct().join(vertices, [K, "vid"])
     box = [fn(a).alias(f"{n}_{a}") for n, fn in (("min", F.min), ("max", F.max)) for a in "xyz"]
     v = used.groupBy(K, "component").agg(F.count("*").alias("n_vertices"), *box)
@@ -81,8 +82,9 @@ def filter_components(faces: DataFrame, vertices: DataFrame, strategy: str = "la
 
     A mesh with one component, or none since no faces touch, stays as it is, isolated faces included.
     """
+    faces = cut(faces, "comps")
     comp = cut(M.face_components(faces), "comps")
-    stats = cut(keep_components(component_stats(faces, vertices), strategy, min_faces, min_ratio), "comps")
+    stats = cut(keep_components(component_stats(faces, vertices, comp), strategy, min_faces, min_ratio), "comps")
     several = stats.groupBy(K).agg(F.count("*").alias("components_before"), F.count_if("is_kept").alias("components_after"))
     kept = comp.join(stats.where("is_kept").select(K, "component"), [K, "component"], "left_semi").select(K, "fid")
     flat = faces.join(several.where("components_before > 1").select(K), K, "left_anti")

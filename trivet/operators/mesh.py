@@ -105,18 +105,23 @@ def orphan_vertices(faces: DataFrame, vertices: DataFrame) -> DataFrame:
     return vertices.join(used, [K, "vid"], "left_anti")
 
 
-def dense_reindex(faces: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New vertex ids from 0 in order of the old ones; faces follow, and keep their fid.
+def numbered(df: DataFrame, by: str, name: str) -> DataFrame:
+    """Adds the place of each row, from 0, in its mesh by the column `by`.
 
-    Vertices are dealt by ranges of (mesh_id, vid) and numbered within a range from the count of the
-    mesh's vertices in the ranges before, so that no task holds a large mesh.
+    Rows are dealt by ranges of (mesh_id, by) and numbered within a range from the count of the mesh's
+    rows in the ranges before, so that no task holds a large mesh.
     """
-    parts = max(1, int(vertices.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = cut(vertices.repartitionByRange(parts, K, "vid").withColumn("_part", F.spark_partition_id()), "vertex-ranges")
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = cut(df.repartitionByRange(parts, K, by).withColumn("_part", F.spark_partition_id()), "ranges")
     before = Window.partitionBy(K).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy(K, "_part").agg(F.count("*").alias("_n")).select(K, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy(K, "_part").orderBy("vid")).cast("long") - 1
-    rank = dealt.withColumn("_place", place).join(starts, [K, "_part"]).withColumn("new", F.col("_start") + F.col("_place"))
+    starts = dealt.groupBy(K, "_part").agg(F.count("*").alias("_c")).select(K, "_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(K, "_part").orderBy(by)).cast("long") - 1
+    return dealt.withColumn("_place", place).join(starts, [K, "_part"]).withColumn(name, F.col("_start") + F.col("_place")).drop("_part", "_place", "_start")
+
+
+def dense_reindex(faces: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """New vertex ids from 0 in order of the old ones; faces follow, and keep their fid."""
+    rank = numbered(vertices, "vid", "new")
     out = faces
     for i in range(3):
         out = out.join(rank.select(K, F.col("vid").alias(f"v{i}"), F.col("new").alias(f"n{i}")), [K, f"v{i}"])
