@@ -37,17 +37,19 @@ class _Video:
         gain = [0.3 * min(1.0, len(w) / 2) + 0.2 * min(1.0, len(t) / 3) for w, t in zip(self.wide, self.near, strict=True)] if self.graph else [0.0] * self.n
         self.utility = [round(o + g, 3) for o, g in zip(self.rows["optical"], gain, strict=True)]
         self.bad = self.rows["severe"].tolist()
+        self.plain = self.rows[["seq", "brightness", "contrast", "keypoints"]].to_dict("list")
         self.thumb = np.stack([np.asarray(t, float) for t in self.rows["thumb"]])
         self.redundancy, self.full = redundancy, full
         self.chosen: dict[int, str] = {}
 
     def twin(self, k: int) -> tuple[int, float] | None:
         """The first selected frame that is too similar, with the similarity."""
-        for s in sorted(self.chosen):
-            sim = 1.0 - float(np.abs(self.thumb[k] - self.thumb[s]).mean()) / self.full
-            if sim >= self.redundancy:
-                return s, sim
-        return None
+        if not self.chosen:
+            return None
+        order = sorted(self.chosen)
+        sim = 1.0 - np.abs(self.thumb[order] - self.thumb[k]).reshape(len(order), -1).mean(axis=1) / self.full
+        near = np.flatnonzero(sim >= self.redundancy)
+        return (order[near[0]], float(sim[near[0]])) if len(near) else None
 
     def best_first(self, ks: Iterator[int]) -> list[int]:
         return sorted(ks, key=lambda k: (-self.utility[k], k))
@@ -109,7 +111,7 @@ class _Video:
                 self.chosen[k] = f"High-utility supplemental keyframe (utility: {self.utility[k]:.2f})"
 
     def rejected(self, k: int) -> str:
-        r = self.rows.iloc[k]
+        r = {c: v[k] for c, v in self.plain.items()}
         if self.bad[k]:
             if r["brightness"] < 10:
                 return f"Severe underexposure (brightness {r['brightness']:.1f} < 10.0)"
@@ -121,7 +123,7 @@ class _Video:
                 return f"Insufficient visual features (keypoints {int(r['keypoints'])} < 8)"
             return "Severe optical quality defect"
         if twin := self.twin(k):
-            return f"Visual redundancy with frame_{int(self.rows['seq'][twin[0]]):06d} (similarity {twin[1]:.3f} >= threshold)"
+            return f"Visual redundancy with frame_{int(self.plain['seq'][twin[0]]):06d} (similarity {twin[1]:.3f} >= threshold)"
         if self.graph and not self.near[k]:
             return "Graph isolation (0 geometrically verified inliers)"
         if self.graph and not self.wide[k]:
