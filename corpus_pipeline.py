@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trivet.llm import langid
-from trivet.llm.common import WORD, cut
+from trivet.llm.common import WORD, cut, free
 from trivet.llm.linededup import dedup_runs
 from trivet.llm.mixing import mix
 from trivet.llm.pieces import encode_pieces
@@ -44,12 +44,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; a text without a word has size 0 and copies as its source has.
+
+    Sources (null one of them) meet their targets, whatever ids repeat; an empty table stays empty.
+    """
     out = mix(docs, carry=("text", "lang", "n_chars"))
     return out.where("copies > 0").withColumn("_n", F.explode(F.expr("sequence(1L, copies)"))).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each row, null text as the empty one: the columns of encode_pieces and source."""
     return encode_pieces(docs, piece_model(), carry=("source",))
 
 
@@ -66,7 +70,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in turn over documents, each on a table of what the one before kept.
+
+    A null or empty text has no letter and goes in the first stage, so an empty table, or one of such
+    texts, gives no row. Rows that repeat id and text are copies: one stays. Null ids and sources are
+    values of their own. Texts are whole in every stage, however long, and columns other than COLUMNS
+    are not read. A stage's input is deleted when its output is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name.split()[0].lower())
+        before, docs = docs, cut(stage(spark, docs, sf_dir), name.split()[0].lower())
+        free(before)
     return STAGES[-1][1](spark, docs, sf_dir)
