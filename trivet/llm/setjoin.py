@@ -17,7 +17,7 @@ from trivet.llm.common import components, cut, free
 GROUPS = 64  # coordinates of the coarsest count vector
 NEAR = 16  # members of a bucket up to which its pairs leave it at once; larger ones go to the tree
 LEAF = 256  # points of a leaf
-CHUNK = 2_000_000  # keys that a task combines at a time
+CHUNK = 1_000_000  # keys that a task combines at a time
 
 _P1, _P2, _P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: The low bits of a key say where it comes from: the parity of a size class, or a single shingle.
