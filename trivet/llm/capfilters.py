@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trivet.llm.common import components, cut
+from trivet.llm.common import components, cut, free
 
 MODULUS = 4096  # filter ids are told apart by the vectors' length modulo this
 
@@ -147,6 +147,7 @@ def cap_links(
     rows are dealt to tasks by pairs of blocks. A link is missed only if its two vectors share no
     filter and nothing else connects them; tests hold the recall against brute force.
 
+    A row for each input row, none for an empty table; other columns are ignored, whatever their names.
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing: they
     are their own component. Vectors of different lengths never link. Rows with equal ids are
     separate vectors; a null id is no component id unless all ids of the component are null.
@@ -218,13 +219,11 @@ def cap_links(
     links = dealt.mapInArrow(tally, "cid long, links long").groupBy("cid").agg(F.sum("links").alias("links"))
     known = classes.join(links, "cid", "left").join(comp.withColumnRenamed("id", "cid"), "cid", "left")
     known = known.select("v", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("component", "cid").alias("c"))
-    # Rows of one vector meet their class; a common vector's rows are dealt by salt.
-    salts = 16
-    known = known.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = own.withColumn("s", F.pmod("row", F.lit(salts)).cast("int")).join(known, ["v", "s"], "left").select("row", "vec_id", "n_links", "c")
+    # Rows of one vector meet their class; Spark splits the rows of a very common vector or component.
+    rows = cut(own.join(known, "v", "left").select("row", "vec_id", "n_links", "c"), "vector-rows")
     least = rows.where("c is not null").groupBy("c").agg(F.min("vec_id").alias("component_id"))
-    least = least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    out = rows.withColumn("s", F.pmod("row", F.lit(salts)).cast("int")).join(least, ["c", "s"], "left")
+    out = rows.join(least, "c", "left")
+    free(own, classes, hits)
     comp_id = F.when(F.col("c").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select(
         "vec_id",
