@@ -144,3 +144,16 @@ def test_config_sections():
         config.from_mapping({"video": {"frame_interval": 2}})
     with pytest.raises(ValueError):
         config.from_mapping([1])
+
+
+def test_hamming_matches(spark):
+    from trivet.operators.matchgraph import knn_ratio
+
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 256, (20, 8)), rng.integers(0, 256, (30, 8))
+    b[:10] = a[:10] ^ (rng.random((10, 8)) < 0.2)
+    rows = lambda d: spark.createDataFrame([(1, i, v.tolist()) for i, v in enumerate(d)], "pair long, id long, d array<int>")
+    got = {(r["id"], r["match"]) for r in knn_ratio(rows(a), rows(b), 0.8, hamming=True).collect()}
+    dist = np.array([[sum(int(x ^ y).bit_count() for x, y in zip(u, v, strict=True)) for v in b] for u in a])
+    two = np.sort(dist, axis=1)[:, :2]
+    assert got == {(i, int(dist[i].argmin())) for i in range(20) if two[i, 0] < 0.8 * two[i, 1]} and len(got) >= 10

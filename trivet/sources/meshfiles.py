@@ -143,7 +143,7 @@ def format_mesh(kind: str, points: np.ndarray, faces: np.ndarray, binary: bool =
 def write_meshes(faces: DataFrame, vertices: DataFrame, folder: str, kind: str = "obj", binary: bool = True) -> DataFrame:
     """Writes one file a mesh and returns (mesh_id, path, sha256, n_faces); vertex ids become dense.
 
-    A file gets its name when whole. STL files are read back: they must not be empty, and their box
+    A file gets its name when whole. STL files are read back from the store before that: they must not be empty, and their box
     must equal the mesh's within 1e-5 (relative) and 1e-7.
     """
     import hashlib
@@ -160,16 +160,17 @@ def write_meshes(faces: DataFrame, vertices: DataFrame, folder: str, kind: str =
         points = v[["x", "y", "z"]].to_numpy(float)
         tri = np.searchsorted(v["vid"].to_numpy(), f[["v0", "v1", "v2"]].to_numpy())
         raw = format_mesh(kind, points, tri, binary)
-        if kind == "stl":
-            again = parse_stl(raw)[0]
-            used = points[tri].reshape(-1, 3)
-            if not len(again) or not np.allclose([again.min(0), again.max(0)], [used.min(0), used.max(0)], rtol=1e-5, atol=1e-7):
-                raise ValueError(f"the STL file of mesh {key[0]} does not hold its mesh")
         fs, base = pafs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
         name = f"{base}/{key[0]}.{kind}"
         with fs.open_output_stream(f"{name}.draft") as out:
             out.write(raw)
+        if kind == "stl":
+            with fs.open_input_stream(f"{name}.draft") as written:
+                again = parse_stl(written.read())[0]
+            used = points[tri].reshape(-1, 3)
+            if not len(again) or not np.allclose([again.min(0), again.max(0)], [used.min(0), used.max(0)], rtol=1e-5, atol=1e-7):
+                raise ValueError(f"the STL file of mesh {key[0]} does not hold its mesh")
         fs.move(f"{name}.draft", name)
         return pd.DataFrame({"mesh_id": [key[0]], "path": [name], "sha256": [hashlib.sha256(raw).hexdigest()], "n_faces": [len(f)]})
 
