@@ -201,7 +201,7 @@ def mesh_component_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.filter_components(*many_meshes(spark, sf_dir))[1]
 
 
-@query(f"""{MESHR},
+FANS = """
 rp AS (SELECT mesh_id, NOT bool_or(v0 = v1 OR v1 = v2 OR v0 = v2) AS plain FROM m2 GROUP BY 1),
 th AS (SELECT mesh_id, max(c) <= 2 AS thin FROM ec GROUP BY 1),
 lk AS (SELECT DISTINCT mesh_id, unnest([v0, v1, v2]) AS hub, least(unnest([v1, v2, v0]), unnest([v2, v0, v1])) AS a, greatest(unnest([v1, v2, v0]), unnest([v2, v0, v1])) AS b
@@ -210,13 +210,30 @@ lb AS (SELECT mesh_id, hub, a, b FROM lk UNION SELECT mesh_id, hub, b, a FROM lk
 lr(mesh_id, hub, n, r) AS (SELECT DISTINCT mesh_id, hub, a, a FROM lb UNION SELECT lr.mesh_id, lr.hub, lr.n, lb.b FROM lr JOIN lb ON lr.mesh_id = lb.mesh_id AND lr.hub = lb.hub AND lr.r = lb.a),
 lc AS (SELECT mesh_id, hub, count(DISTINCT m) AS pieces FROM (SELECT mesh_id, hub, n, min(r) AS m FROM lr GROUP BY 1, 2, 3) GROUP BY 1, 2),
 ld AS (SELECT mesh_id, hub, max(d) AS most, count(*) FILTER (WHERE d = 1) AS ends FROM (SELECT mesh_id, hub, a, count(*) AS d FROM lb GROUP BY 1, 2, 3) GROUP BY 1, 2),
-ok AS (SELECT lc.mesh_id, bool_and(pieces = 1 AND most <= 2 AND ends IN (0, 2)) AS fans FROM lc JOIN ld ON lc.mesh_id = ld.mesh_id AND lc.hub = ld.hub GROUP BY 1)
-SELECT rp.mesh_id, plain AND thin AND coalesce(fans, false) AS vertex_manifold FROM rp JOIN th ON rp.mesh_id = th.mesh_id LEFT JOIN ok ON rp.mesh_id = ok.mesh_id""")
+ok AS (SELECT lc.mesh_id, bool_and(pieces = 1 AND most <= 2 AND ends IN (0, 2)) AS fans FROM lc JOIN ld ON lc.mesh_id = ld.mesh_id AND lc.hub = ld.hub GROUP BY 1),
+vm AS (SELECT rp.mesh_id, plain AND thin AND coalesce(fans, false) AS vertex_manifold FROM rp JOIN th ON rp.mesh_id = th.mesh_id LEFT JOIN ok ON rp.mesh_id = ok.mesh_id)"""
+
+
+@query(f"{MESHR}, {FANS} SELECT mesh_id, vertex_manifold FROM vm")
 def mesh_vertex_manifold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mesh.vertex_manifold(many_meshes(spark, sf_dir)[0])
 
 
-@query()
+# Walks over boundary edges, one step a row: `todo` is what is not walked yet, in the order of corners and faces.
+LOOPS = """
+dc AS (SELECT mesh_id, fid, unnest([0, 1, 2]) AS corner, unnest([v0, v1, v2]) AS u, unnest([v1, v2, v0]) AS v FROM m2),
+b1 AS (SELECT mesh_id, min(fid) AS fid, min(corner) AS corner, min(u) AS u, min(v) AS v FROM dc GROUP BY mesh_id, least(u, v), greatest(u, v) HAVING count(*) = 1),
+walk(mesh_id, todo, first, here, n, loops) AS (
+  SELECT mesh_id, list({'u': u, 'v': v} ORDER BY corner, fid), NULL::BIGINT, NULL::BIGINT, 0, 0 FROM b1 GROUP BY 1
+  UNION ALL
+  SELECT mesh_id, CASE WHEN k > 0 THEN todo[:k - 1] || todo[k + 1:] ELSE todo END, CASE WHEN here IS NULL THEN todo[k].u ELSE first END,
+         CASE WHEN k > 0 AND (here IS NULL OR todo[k].v <> first) THEN todo[k].v END, CASE WHEN here IS NULL THEN 1 ELSE n + 1 END,
+         loops + CASE WHEN k > 0 AND here IS NOT NULL AND todo[k].v = first AND n >= 2 THEN 1 ELSE 0 END
+  FROM (SELECT *, CASE WHEN here IS NULL THEN 1 ELSE coalesce(list_position(list_transform(todo, lambda e: e.u), here), 0) END AS k FROM walk WHERE len(todo) > 0)),
+bl AS (SELECT mesh_id, greatest(1, max(loops)) AS boundary_loops FROM walk GROUP BY 1)"""
+
+
+@query(f"WITH RECURSIVE {MESH}, {LOOPS} SELECT mesh_id, CAST(boundary_loops AS BIGINT) AS boundary_loops FROM bl")
 def mesh_boundary_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.boundary_loops(many_meshes(spark, sf_dir)[0])
 
@@ -263,13 +280,40 @@ def overhang_faces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable.overhang_faces(*many_meshes(spark, sf_dir))
 
 
-@query()
+# Rays from all face centres, as no mesh of M2 has more than 500 faces, against the faces of meshes named by `{of}`.
+RAYS = """
+bx AS (SELECT mesh_id, greatest(sqrt(pow(max(x) - min(x), 2) + pow(max(y) - min(y), 2) + pow(max(z) - min(z), 2)) * 1e-6, 1e-9) AS eps FROM v2m GROUP BY 1),
+ul AS (SELECT n2.*, eps, sqrt(nx*nx + ny*ny + nz*nz) AS ln FROM n2 JOIN bx ON n2.mesh_id = bx.mesh_id WHERE n2.mesh_id IN (SELECT mesh_id FROM {of})),
+ry AS (SELECT mesh_id, eps, (x0 + x1 + x2) / 3 - nx / ln * eps AS ox, (y0 + y1 + y2) / 3 - ny / ln * eps AS oy, (z0 + z1 + z2) / 3 - nz / ln * eps AS oz,
+              -(nx / ln) AS dx, -(ny / ln) AS dy, -(nz / ln) AS dz FROM ul WHERE ln > 0),
+tr AS (SELECT mesh_id, x0, y0, z0, x1 - x0 AS ax, y1 - y0 AS ay, z1 - z0 AS az, x2 - x0 AS bx, y2 - y0 AS by_, z2 - z0 AS bz FROM g2),
+mt AS (SELECT ry.*, ax, ay, az, bx, by_, bz, ox - x0 AS sx, oy - y0 AS sy, oz - z0 AS sz, dy * bz - dz * by_ AS hx, dz * bx - dx * bz AS hy, dx * by_ - dy * bx AS hz FROM ry JOIN tr ON ry.mesh_id = tr.mesh_id),
+mq AS (SELECT *, ax * hx + ay * hy + az * hz AS det, sy * az - sz * ay AS qx, sz * ax - sx * az AS qy, sx * ay - sy * ax AS qz FROM mt),
+mh AS (SELECT mesh_id, eps, (sx * hx + sy * hy + sz * hz) / det AS u, (dx * qx + dy * qy + dz * qz) / det AS v, (bx * qx + by_ * qy + bz * qz) / det AS t FROM mq WHERE abs(det) > 1e-14),
+tk AS (SELECT mesh_id, min(t) AS thickness FROM mh WHERE u >= 0 AND v >= 0 AND u + v <= 1 AND t > 10 * eps GROUP BY 1)"""
+
+
+@query(f"WITH {MESH}, {RAYS.format(of='m2')} SELECT mesh_id, round(thickness, 6) AS thickness FROM tk")
 def thickness_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = printable.thickness(*many_meshes(spark, sf_dir))
     return t.select("mesh_id", F.round("thickness", 6).alias("thickness"))
 
 
-@query()
+@query(f"""{MESHR}, {FANS},
+wd AS (SELECT mesh_id, max(c) = 1 AS consistent FROM (SELECT mesh_id, u, v, count(*) AS c FROM de GROUP BY 1, 2, 3) GROUP BY 1),
+es AS ({_STATS}),
+vo AS (SELECT mesh_id, sum((x0*(y1*z2-z1*y2) + y0*(z1*x2-x1*z2) + z0*(x1*y2-y1*x2)) / 6) AS volume FROM n2 GROUP BY 1),
+so AS (SELECT es.mesh_id, closed AND consistent AND volume > 0 AS solid, edge_manifold FROM es JOIN wd ON es.mesh_id = wd.mesh_id JOIN vo ON es.mesh_id = vo.mesh_id),
+sl AS (SELECT mesh_id FROM so WHERE solid), {RAYS.format(of='sl')},
+un AS (SELECT mesh_id, fid, nz / sqrt(nx*nx + ny*ny + nz*nz) AS c FROM n2 WHERE nx*nx + ny*ny + nz*nz > 0),
+oh AS (SELECT mesh_id, count(*) AS n FROM un WHERE c < 0 AND degrees(acos(greatest(-1.0, least(1.0, -c)))) < 45 GROUP BY 1),
+rj AS (SELECT so.mesh_id, solid, edge_manifold AND vertex_manifold AS mf, coalesce(n, 0) AS n, thickness FROM so JOIN vm ON so.mesh_id = vm.mesh_id LEFT JOIN oh ON so.mesh_id = oh.mesh_id LEFT JOIN tk ON so.mesh_id = tk.mesh_id)
+SELECT mesh_id, solid AS is_watertight, mf AS is_manifold, thickness AS min_wall_thickness_mm, CAST(n AS BIGINT) AS overhang_face_count, solid AND mf AND coalesce(thickness >= 1.2, false) AS is_printable,
+  list_filter([CASE WHEN NOT solid THEN 'Mesh is open/non-watertight; cannot form a sealed solid volume.' END,
+    CASE WHEN NOT mf THEN 'Mesh contains non-manifold edges or vertices.' END,
+    CASE WHEN n > 0 THEN n || ' downward-facing surface elements require support structures at >45.0°.' END,
+    CASE WHEN thickness < 1.2 THEN 'Estimated minimum wall thickness (' || printf('%.2f', thickness) || ' mm) is below configured threshold (1.20 mm).' END,
+    CASE WHEN NOT solid THEN 'Wall thickness analysis skipped: ray intersection requires a closed, watertight mesh.' END], lambda w: w IS NOT NULL) AS warnings FROM rj""")
 def printable_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable.report(*many_meshes(spark, sf_dir))
 
