@@ -21,9 +21,7 @@ def clean(faces: DataFrame, vertices: DataFrame, area_threshold: float = 1e-7, d
     faces, vertices = cut(faces, "clean"), cut(vertices, "clean")
     good = vertices.where(~M.bad_vertex())
     bad_v = vertices.where(M.bad_vertex())
-    corners = faces.select(K, "fid", F.explode(F.array("v0", "v1", "v2")).alias("vid"))
-    on_bad = corners.join(bad_v.select(K, "vid"), [K, "vid"], "left_semi").select(K, "fid").distinct()
-    f1 = faces.join(on_bad, [K, "fid"], "left_anti")
+    f1 = faces.join(M.faces_on_bad_vertices(faces, vertices), [K, "fid"], "left_anti")
     f2 = cut(f1.join(M.invalid_faces(f1, good), [K, "fid"], "left_anti"), "clean")
     f3 = M.corner_points(f2, good).where(~M.degenerate(area_threshold)).select(*f2.columns) if degenerate else f2
     f3 = cut(f3, "clean")

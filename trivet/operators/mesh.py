@@ -74,6 +74,12 @@ def bad_vertex() -> Column:
     return V.not_finite(F.col("x")) | V.not_finite(F.col("y")) | V.not_finite(F.col("z"))
 
 
+def faces_on_bad_vertices(faces: DataFrame, vertices: DataFrame) -> DataFrame:
+    """Faces with a corner whose coordinates are NaN or infinite: (mesh_id, fid)."""
+    corners = faces.select(K, "fid", F.explode(F.array("v0", "v1", "v2")).alias("vid"))
+    return corners.join(vertices.where(bad_vertex()).select(K, "vid"), [K, "vid"], "left_semi").select(K, "fid").distinct()
+
+
 def corner_points(faces: DataFrame, vertices: DataFrame) -> DataFrame:
     """Faces with the coordinates of their corners: x0, y0, z0, x1 and so on."""
     for i in range(3):
@@ -128,6 +134,29 @@ def dense_reindex(faces: DataFrame, vertices: DataFrame) -> tuple[DataFrame, Dat
     return out.select(K, "fid", *[F.col(f"n{i}").alias(f"v{i}") for i in range(3)]), rank.select(K, F.col("new").alias("vid"), "x", "y", "z")
 
 
+def concatenate(faces: DataFrame, vertices: DataFrame, part: str) -> tuple[DataFrame, DataFrame]:
+    """The geometries (column `part`) of a mesh as one, in order of `part`: ids from 0 in each move behind those before.
+
+    Only the counts of a mesh's geometries meet in a task, not their rows.
+    """
+    before = Window.partitionBy(K).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    start = vertices.groupBy(K, part).agg((F.max("vid") + 1).alias("_n")).select(K, part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    f, v = faces.join(start, [K, part]), vertices.join(start, [K, part])
+    return f.withColumns({c: F.col(c) + F.col("_o") for c in ("v0", "v1", "v2")}).drop("_o", part), v.withColumn("vid", F.col("vid") + F.col("_o")).drop("_o", part)
+
+
+def unit_normals(faces: DataFrame, vertices: DataFrame) -> DataFrame:
+    """(mesh_id, fid, nx, ny, nz): normals of length 1; zeros for a face without area. Coordinates do not move."""
+    n, size = face_normal(), V.norm(face_normal())
+    return corner_points(faces, vertices).select(K, "fid", *[F.when(size > 0, c / size).otherwise(0.0).alias(f"n{a}") for a, c in zip("xyz", n, strict=True)])
+
+
+def add_warnings(old: Column, new: Column) -> Column:
+    """`old` with those of `new` behind it that it does not hold yet, in their order; null lists are empty."""
+    none = F.array().cast("array<string>")
+    return F.aggregate(F.coalesce(new, none), F.coalesce(old, none), lambda have, w: F.when(F.array_contains(have, w), have).otherwise(F.array_append(have, w)))
+
+
 def vertex_stats(vertices: DataFrame) -> DataFrame:
     """Counts of vertices, NaN and infinite ones, and the box of the finite ones (zeros if none)."""
     nan = F.isnan("x") | F.isnan("y") | F.isnan("z")

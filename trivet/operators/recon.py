@@ -106,6 +106,20 @@ def fatal(text: Column) -> Column:
     return out
 
 
+def log_tail(lines: DataFrame, most: int = 20, key: str = "job_id", order: str = "line_no", text: str = "line") -> DataFrame:
+    """(key, n_lines, tail): the last `most` lines of each log, in order. Only these leave the window, whatever a log's length."""
+    last = Window.partitionBy(key).orderBy(F.desc(order))
+    end = lines.withColumn("_r", F.row_number().over(last)).where(F.col("_r") <= most)
+    tail = end.groupBy(key).agg(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))), lambda x: x["t"])).alias("tail"))
+    return lines.groupBy(key).agg(F.count("*").alias("n_lines")).join(tail, key)
+
+
+def can_run_dense(version_text: Column) -> Column:
+    """Whether an engine has a GPU build, by what it prints about itself; an unreadable answer has none."""
+    low = F.lower(version_text)
+    return F.coalesce(~low.contains("without gpu support") & ~low.contains("without cuda"), F.lit(False))
+
+
 def mapper_line(text: Column) -> dict[str, Column]:
     """Images and points of a line `Reconstruction with N images and M points`."""
     pat = r"Reconstruction with (\d+) images and (\d+) points"

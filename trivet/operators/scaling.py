@@ -47,6 +47,18 @@ def marker_edges(corners: Column) -> Column:
     return F.array(*[side(i) for i in range(4)])
 
 
+def observations(markers: DataFrame, marker_id: int | None = None, dictionary: str = "DICT_4X4_50") -> DataFrame:
+    """Found markers of one dictionary, of one id where it is given, with their four side lengths (edge_lengths_2d).
+
+    markers: marker_id, dictionary, corners (array of struct x, y) and what else. Without four corners the lengths are null.
+    """
+    from trivet.config import marker_dictionary
+
+    m = markers.where(F.col("dictionary") == marker_dictionary(dictionary))
+    m = m if marker_id is None else m.where(F.col("marker_id") == marker_id)
+    return m.withColumn("edge_lengths_2d", F.when(F.size("corners") == 4, marker_edges(F.col("corners"))))
+
+
 def corner_lengths(corners: Column) -> Column:
     """The four side lengths of a marker in space (array of struct x, y, z); other than four finite points are an error."""
     at = lambda i: tuple(F.get(corners, i)[a] for a in "xyz")

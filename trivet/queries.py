@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from trivet.plans import frame_queries, mesh_queries, misc_queries
+from trivet.plans import frame_queries, mesh_queries, misc_queries, rule_queries
 
-QUERIES = mesh_queries.QUERIES | frame_queries.QUERIES | misc_queries.QUERIES
-ORACLES = mesh_queries.ORACLES | frame_queries.ORACLES | misc_queries.ORACLES
+MODULES = (mesh_queries, frame_queries, misc_queries, rule_queries)
+QUERIES = {name: run for m in MODULES for name, run in m.QUERIES.items()}
+ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
