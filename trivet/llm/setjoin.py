@@ -480,7 +480,8 @@ def _tree_pairs(points: DataFrame, num: int, den: int, best_only: bool, leaf: in
     points: cluster, cid, component, n, fine, tile. They are sorted by cluster, size level, component
     and coordinates and packed into leaves in that order. Pairs of leaves meet on boxes alone; those
     that are left carry their points once each. best_only: of each point's partners in a leaf only
-    the best, else all. counted gets how many pairs of leaves there are and are left.
+    the best, else all. counted gets how many pairs of leaves there are, how
+    many of them differ in component at near levels, and how many of these the boxes leave.
     """
     # Sizes of a link are within num/den, so leaves of far levels are not even paired.
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int")
@@ -492,10 +493,10 @@ def _tree_pairs(points: DataFrame, num: int, den: int, best_only: bool, leaf: in
     y = leaves.select(*[F.col(c).alias(f"{c}_y") for c in head])
     top = F.aggregate(F.zip_with("box_x", "box_y", lambda u, v: F.least(u, v)), F.lit(0), lambda s, u: s + u)
     met = x.join(y, (F.col("cluster_x") == F.col("cluster_y")) & (F.col("leaf_x") <= F.col("leaf_y")))
-    left = met.where((F.abs(F.col("level_x") - F.col("level_y")) <= 1) & ~F.coalesce(F.col("one_x") == F.col("one_y"), F.lit(False)))
-    left = left.where(top * (den + num) >= (F.col("least_x") + F.col("least_y")) * num)
+    near = met.where((F.abs(F.col("level_x") - F.col("level_y")) <= 1) & ~F.coalesce(F.col("one_x") == F.col("one_y"), F.lit(False)))
+    left = near.where(top * (den + num) >= (F.col("least_x") + F.col("least_y")) * num)
     if counted is not None:
-        counted += [met.count(), left.count()]
+        counted += [met.count(), near.count(), left.count()]
     body = ("leaf", "cids", "comps", "ns", "fines")
     left = left.select("leaf_x", "leaf_y").join(leaves.select(*[F.col(c).alias(f"{c}_x") for c in body]), "leaf_x").join(leaves.select(*[F.col(c).alias(f"{c}_y") for c in body]), "leaf_y")
 
