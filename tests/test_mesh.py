@@ -84,6 +84,53 @@ def test_repair_and_winding(spark, meshes):
     assert mesh.area_volume(turned, vv).where("mesh_id = 1").first()["volume"] == pytest.approx(8)
 
 
+def _turned(verts, faces):
+    """Faces turned alike by a walk in plain Python, for meshes whose components can be turned."""
+    owners = {}
+    for k, f in enumerate(faces):
+        for u, v in zip(f, f[1:] + f[:1], strict=True):
+            owners.setdefault((min(u, v), max(u, v)), []).append((k, u < v))
+    flip = {}
+    for root in range(len(faces)):
+        if root in flip:
+            continue
+        flip[root], part = False, [root]
+        for f in part:
+            for (a, x), (b, y) in (o for o in owners.values() if len(o) == 2):
+                for here, there in ((a, b), (b, a)):
+                    if here == f and there not in flip:
+                        flip[there] = flip[f] ^ (x == y)
+                        part.append(there)
+        p = np.array(verts, float)
+        vol = sum(np.linalg.det(p[list(faces[f])]) * (-1 if flip[f] else 1) for f in part)
+        if vol < -1e-9:
+            flip.update({f: not flip[f] for f in part})
+    return [(f[0], f[2], f[1]) if flip[k] else tuple(f) for k, f in enumerate(faces)]
+
+
+@pytest.mark.parametrize("local", [200_000, 0])
+def test_winding_equals_walk(spark, meshes, monkeypatch, local):
+    """Mixed senses, several components, open and isolated faces, also where components are solved in rounds."""
+    monkeypatch.setattr(repair, "components", lambda e, k: graph.components(e, k, local_edges=local))
+    rng = np.random.default_rng(5)
+    mixed = {}
+    for k in (1, 2, 4):
+        v, fs = meshes[k]
+        mixed[k] = (v, [f if rng.random() < 0.5 else f[::-1] for f in map(tuple, fs)])
+    mixed[8] = ([(0, 0, 1.0), (1, 0, 1), (0, 1, 1)], [(0, 2, 1)])
+    mixed[9] = ([(np.cos(a), np.sin(a), 0.3 * np.sin(2 * a)) for a in range(5)], [(i, (i + 1) % 5, (i + 2) % 5) for i in range(5)])  # one-sided
+    f, v = tables(spark, mixed)
+    got = {}
+    for r in repair.unify_winding(f, v).orderBy("mesh_id", "fid").collect():
+        got.setdefault(r["mesh_id"], []).append((r["v0"], r["v1"], r["v2"]))
+    for k in (1, 2, 4, 8):
+        assert got[k] == _turned(*mixed[k])
+    assert [sorted(t) for t in got[9]] == [sorted(t) for t in mixed[9][1]]
+    senses = repair.face_senses(f.where("mesh_id = 9"))
+    assert senses.select("component").distinct().count() == 1 and senses.where("fid = 0").first()["flip"] is False
+    assert repair.unify_winding(f.limit(0), v).count() == 0
+
+
 def test_printable(spark, meshes):
     f, v = tables(spark, {1: (np.array(CORNERS) * 5, CUBE), 2: (np.array(CORNERS) * 5, CUBE[:-1])})
     r = {x["mesh_id"]: x for x in printable.report(f, v).collect()}
