@@ -111,6 +111,19 @@ def orphan_vertices(faces: DataFrame, vertices: DataFrame) -> DataFrame:
     return vertices.join(used, [K, "vid"], "left_anti")
 
 
+#: Fixed value: why a mesh cannot be worked on.
+TOO_FEW = "Mesh contains insufficient geometry: %d vertices, %d faces."
+
+
+def usable(faces: DataFrame, vertices: DataFrame, min_vertices: int = 3, min_faces: int = 1) -> DataFrame:
+    """(mesh_id, n_vertices, n_faces, usable, error) for each mesh with a vertex or a face; error says what is too few."""
+    v = vertices.groupBy(K).agg(F.count("*").alias("n_vertices"))
+    f = faces.groupBy(K).agg(F.count("*").alias("n_faces"))
+    n = v.join(f, K, "full").fillna(0)
+    ok = (F.col("n_vertices") >= min_vertices) & (F.col("n_faces") >= min_faces)
+    return n.withColumn("usable", ok).withColumn("error", F.when(~ok, F.format_string(TOO_FEW, "n_vertices", "n_faces")))
+
+
 def numbered(df: DataFrame, by: str, name: str) -> DataFrame:
     """Adds the place of each row, from 0, in its mesh by the column `by`.
 

@@ -227,6 +227,14 @@ def thickness_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printable.sample_faces(one_mesh(spark, sf_dir)[0]).select("mesh_id", "fid")
 
 
+@query(f"""WITH {MESH}, v AS (SELECT mesh_id, count(*) AS n_vertices FROM v2m GROUP BY 1), f AS (SELECT mesh_id, count(*) AS n_faces FROM m2 GROUP BY 1)
+SELECT coalesce(v.mesh_id, f.mesh_id) AS mesh_id, coalesce(n_vertices, 0) AS n_vertices, coalesce(n_faces, 0) AS n_faces, coalesce(n_vertices, 0) >= 6 AND coalesce(n_faces, 0) >= 3 AS usable,
+  CASE WHEN NOT (coalesce(n_vertices, 0) >= 6 AND coalesce(n_faces, 0) >= 3) THEN 'Mesh contains insufficient geometry: ' || coalesce(n_vertices, 0) || ' vertices, ' || coalesce(n_faces, 0) || ' faces.' END AS error
+FROM v FULL JOIN f ON v.mesh_id = f.mesh_id""")
+def mesh_usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mesh.usable(*many_meshes(spark, sf_dir), 6, 3)
+
+
 @query("""SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber IN (1, 2, 3, 4)""")
 def scaling_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("l_linenumber")

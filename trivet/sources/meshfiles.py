@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trivet.errors import MeshFormatError, MeshLoadError, MeshProcessingError
+
 SUFFIXES = (".obj", ".ply", ".stl")
 PLY_TYPES = {"char": "i1", "uchar": "u1", "short": "i2", "ushort": "u2", "int": "i4", "uint": "u4", "float": "f4", "double": "f8"}
 PLY_TYPES |= {"int8": "i1", "uint8": "u1", "int16": "i2", "uint16": "u2", "int32": "i4", "uint32": "u4", "float32": "f4", "float64": "f8"}
@@ -89,26 +91,38 @@ def parse_stl(raw: bytes) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
 PARSERS = {".obj": parse_obj, ".ply": parse_ply, ".stl": parse_stl}
 
 
+def list_meshes(spark: SparkSession, path: str) -> DataFrame:
+    """(mesh_id, path, suffix, content) of the mesh files under a path; content is only read where it is used."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = files.withColumn("suffix", F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))).where(F.col("suffix").isin(*SUFFIXES))
+    return files.select(F.xxhash64("path").alias("mesh_id"), "path", "suffix", "content")
+
+
+def _parsed(r) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    try:
+        return PARSERS[r.suffix](bytes(r.content))
+    except Exception as e:
+        raise MeshLoadError(f"cannot read {r.path}: {e}") from e
+
+
 def read_meshes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Faces and vertices of all mesh files under a path, mesh_id a hash of the file's path, and `path`.
 
     Files are read and parsed once a table by the executors, one file in memory at a time; files of
     another suffix are not opened. Vertices are not merged. A file that cannot be parsed is an error.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    files = files.withColumn("suffix", F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))).where(F.col("suffix").isin(*SUFFIXES))
-    files = files.select(F.xxhash64("path").alias("mesh_id"), "path", "suffix", "content")
+    files = list_meshes(spark, path)
 
     def faces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
-                f = np.array(PARSERS[r.suffix](bytes(r.content))[1], np.int64).reshape(-1, 3)
+                f = np.array(_parsed(r)[1], np.int64).reshape(-1, 3)
                 yield pd.DataFrame({"mesh_id": r.mesh_id, "path": r.path, "fid": np.arange(len(f)), "v0": f[:, 0], "v1": f[:, 1], "v2": f[:, 2]})
 
     def vertices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
-                v = PARSERS[r.suffix](bytes(r.content))[0]
+                v = _parsed(r)[0]
                 yield pd.DataFrame({"mesh_id": r.mesh_id, "path": r.path, "vid": np.arange(len(v)), "x": v[:, 0], "y": v[:, 1], "z": v[:, 2]})
 
     return (
@@ -125,7 +139,7 @@ def format_mesh(kind: str, points: np.ndarray, faces: np.ndarray, binary: bool =
         head = f"ply\nformat ascii 1.0\nelement vertex {len(points)}\nproperty double x\nproperty double y\nproperty double z\nelement face {len(faces)}\nproperty list uchar int vertex_indices\nend_header\n"
         return (head + "".join([*(f"{x!r} {y!r} {z!r}\n" for x, y, z in points.tolist()), *(f"3 {a} {b} {c}\n" for a, b, c in faces.tolist())])).encode()
     if kind != "stl":
-        raise ValueError(f"unknown mesh format {kind}")
+        raise MeshFormatError(f"unknown mesh format {kind}")
     t = points[faces]
     n = np.cross(t[:, 1] - t[:, 0], t[:, 2] - t[:, 0])
     size = np.linalg.norm(n, axis=1, keepdims=True)
@@ -140,9 +154,11 @@ def format_mesh(kind: str, points: np.ndarray, faces: np.ndarray, binary: bool =
     return "\n".join([*out, "endsolid mesh\n"]).encode()
 
 
-def write_meshes(faces: DataFrame, vertices: DataFrame, folder: str, kind: str = "obj", binary: bool = True) -> DataFrame:
+def write_meshes(faces: DataFrame, vertices: DataFrame, folder: str, kind: str = "obj", binary: bool = True, name: str | None = None) -> DataFrame:
     """Writes one file a mesh and returns (mesh_id, path, sha256, n_faces); vertex ids become dense.
 
+    A file's name is its mesh's id, or the value of the faces' column `name`. Meshes without a face are not written.
+
     A file gets its name when whole. STL files are read back from the store before that: they must not be empty, and their box
     must equal the mesh's within 1e-5 (relative) and 1e-7.
     """
@@ -152,9 +168,11 @@ def write_meshes(faces: DataFrame, vertices: DataFrame, folder: str, kind: str =
 
 
     if kind not in ("obj", "ply", "stl"):
-        raise ValueError(f"unknown mesh format {kind}")
+        raise MeshFormatError(f"unknown mesh format {kind}")
 
     def one(key, f: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
+        if f.empty:
+            return pd.DataFrame({"mesh_id": [], "path": [], "sha256": [], "n_faces": []})
         v = v.sort_values("vid")
         f = f.sort_values("fid")
         points = v[["x", "y", "z"]].to_numpy(float)
@@ -162,16 +180,16 @@ def write_meshes(faces: DataFrame, vertices: DataFrame, folder: str, kind: str =
         raw = format_mesh(kind, points, tri, binary)
         fs, base = pafs.FileSystem.from_uri(folder)
         fs.create_dir(base, recursive=True)
-        name = f"{base}/{key[0]}.{kind}"
-        with fs.open_output_stream(f"{name}.draft") as out:
+        file = f"{base}/{f[name].iloc[0] if name else key[0]}.{kind}"
+        with fs.open_output_stream(f"{file}.draft") as out:
             out.write(raw)
         if kind == "stl":
-            with fs.open_input_stream(f"{name}.draft") as written:
+            with fs.open_input_stream(f"{file}.draft") as written:
                 again = parse_stl(written.read())[0]
             used = points[tri].reshape(-1, 3)
             if not len(again) or not np.allclose([again.min(0), again.max(0)], [used.min(0), used.max(0)], rtol=1e-5, atol=1e-7):
-                raise ValueError(f"the STL file of mesh {key[0]} does not hold its mesh")
-        fs.move(f"{name}.draft", name)
-        return pd.DataFrame({"mesh_id": [key[0]], "path": [name], "sha256": [hashlib.sha256(raw).hexdigest()], "n_faces": [len(f)]})
+                raise MeshProcessingError(f"the STL file of mesh {key[0]} does not hold its mesh")
+        fs.move(f"{file}.draft", file)
+        return pd.DataFrame({"mesh_id": [key[0]], "path": [file], "sha256": [hashlib.sha256(raw).hexdigest()], "n_faces": [len(f)]})
 
     return faces.groupBy("mesh_id").cogroup(vertices.groupBy("mesh_id")).applyInPandas(one, "mesh_id long, path string, sha256 string, n_faces long")
