@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trivet.operators import clean, mesh, printable, repair
 from trivet.plans.mesh_pipeline import process_meshes
-from trivet.plans.relations import MESH, many_meshes, one_mesh, table
+from trivet.plans.relations import MESH, many_meshes, one_mesh
 from trivet.storage import cut
 
 QUERIES, ORACLES = {}, {}
