@@ -85,6 +85,36 @@ def test_quality_reads_one_row_an_id(spark):
     assert np.array_equal(a.weight, b.weight) and a.cut == b.cut
 
 
+def test_quality_learns_from_every_label(spark):
+    """More than 2,000 labels of a class and a text of more than 200,000 characters all count."""
+    rows = [(i, f"plain words number {i} flow on" if i % 2 else f"SPAM!! {i} NOW", "en", "s") for i in range(7_000)] + [(7_001, "LONG 42 " * 30_000, "en", "s")]
+    table = docs(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, *_ in rows], "doc_id long, quality int, toxic int")
+    m = quality.train(table, labels)
+    learned = {r["doc_id"] for r in table.where(~langid.held_out(F.col("doc_id"), 3, 1)).collect()}
+    x = np.array([quality.features(t) for i, t, *_ in rows if i in learned])
+    y = [i % 2 for i, *_ in rows if i in learned]
+    assert min(Counter(y).values()) > 2_000 and 7_001 in learned
+    assert np.allclose(m.mean, x.mean(axis=0), atol=1e-8) and np.allclose(m.scale, np.maximum(x.std(axis=0), 1e-6), atol=1e-6)
+
+
+def test_quality_meets_all_pairs(spark):
+    """Sums over cells of scores give the machine of all pairs written out, in whatever order rows come."""
+    rng = np.random.default_rng(9)
+    d = len(quality.FEATURES)
+    x = rng.standard_normal((330, d)) * rng.uniform(0.01, 3, d)
+    y = (x / x.std(axis=0) @ rng.standard_normal(d) + 2 * rng.standard_normal(330) > -3).astype(int)
+    x[0, 3] = 400
+    rows = spark.createDataFrame(list(zip(y.tolist(), x.tolist(), strict=True)), "q int, x array<double>")
+    want = quality.fit(x, y.tolist(), 0.2)
+    a, b = quality.fit_rows(rows.repartition(7), 0.2), quality.fit_rows(rows.coalesce(1).orderBy(F.col("x")[0]), 0.2)
+    assert np.allclose(a.weight, want.weight, atol=1e-6) and a.cut == pytest.approx(want.cut, abs=1e-6) and a.width == pytest.approx(want.width, abs=1e-6)
+    assert np.array_equal(a.weight, b.weight) and (a.cut, a.width) == (b.cut, b.width)
+    tied = spark.createDataFrame([(0, 1.0), (1, 2.0), (1, 2.0), (0, 2.0), (1, 5.0), (0, 1e9)], "q int, s double")
+    assert [quality._threshold(tied, p, np.array([3.0, 3.0])) for p in (0.1, 0.5, 0.69, 0.9)] == [3.5, 3.5, (5 + 1e9) / 2, (5 + 1e9) / 2]
+    assert quality._threshold(tied.where("s = 2"), 0.5, np.array([1.0, 2.0])) == 2
+
+
 def test_warc_ties(spark):
     page = [(6, "u", "same"), (6, "u", "same"), (6, "u", "same"), (8, "u", "same"), (None, "v", "lone"), (None, "v", "lone"), (9, "w", "x")]
     pages = spark.createDataFrame(page, "page_id long, url string, html string")
